@@ -13,6 +13,7 @@ from panelkit.functions import label_tokens
 from panelkit.operators import (
     balance, charts, clean, cluster_scores, features, impute, labels, metrics, prep, profile, reshape, sampling,
 )
+from panelkit.session import tune
 from panelkit.sources.panel import PANEL_SPEC as S
 from panelkit.sources.panel import derived_panel
 
@@ -31,9 +32,7 @@ def register(name: str, sql: str | None = None):
 
 
 def panel(spark: SparkSession, sf: str) -> DataFrame:
-    # wide projections compile to methods the JVM would not optimise; this splits them
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
-    return derived_panel(spark, sf)
+    return derived_panel(tune(spark), sf)
 
 
 def dom(spark: SparkSession, sf: str) -> DataFrame:

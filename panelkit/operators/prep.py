@@ -17,7 +17,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.operators.quantiles import exact_quantiles, with_limits
+from panelkit.operators.quantiles import exact_quantiles, long_values, with_limits
 
 SCALERS = ("standard", "minmax", "robust")
 ENCODERS = ("onehot", "ordinal", "target")
@@ -278,13 +278,17 @@ def _fit_numeric(data: DataFrame, numeric: list[str], found: dict[int, TrainingS
     joined, pairs = with_limits(data.select("__set", *numeric), ("__set",), limits)
     used = [c for c, _ in pairs]
     imputed = joined.select("__set", *[F.coalesce(c, F.col(f"lo{i}")).alias(c) for i, c in enumerate(used)])
-    moments = imputed.groupBy("__set").agg(
-        *[f(c).alias(f"{n}_{c}") for c in used for n, f in (("avg", F.avg), ("std", F.stddev_pop), ("min", F.min), ("max", F.max))]
+    moments = long_values(imputed, used, ["__set"]).groupBy("__set", "c").agg(
+        F.count("v").alias("n"), F.avg("v").alias("avg"), F.stddev_pop("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max")
     )
+    counts = {}
     for r in moments.collect():
-        found[r["__set"]].moments = {c: tuple(r[f"{n}_{c}"] for n in ("avg", "std", "min", "max")) for c in used}
+        if r["n"]:
+            found[r["__set"]].moments[used[r["c"]]] = (r["avg"], r["std"], r["min"], r["max"])
+        counts[(r["__set"],), used[r["c"]]] = r["n"]
     if "robust" in scalers:
-        for ((s,), c), values in exact_quantiles(imputed, used, [0.25, 0.5, 0.75], ["__set"]).values().items():
+        quartiles = exact_quantiles(imputed, used, [0.25, 0.5, 0.75], ["__set"], counts)
+        for ((s,), c), values in quartiles.values().items():
             found[s].quartiles[c] = values
 
 

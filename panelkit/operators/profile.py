@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelkit.functions import numeric_text
 from panelkit.operators import ranks
 from panelkit.operators.clean import clean_data, coerce_numeric_text
-from panelkit.operators.quantiles import exact_quantiles
+from panelkit.operators.quantiles import exact_quantiles, long_values
 from panelkit.sources.sinks import write_report_csv
 from panelkit.spec import PanelSpec, numeric_columns, string_columns
 
@@ -68,20 +68,18 @@ def dirty_value_scan(df: DataFrame, placeholders: Sequence[str]) -> DataFrame:
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max per column."""
     columns = list(columns)
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).values()
-    totals = df.agg(
-        *[
-            f(F.col(c).cast("double")).alias(f"{c}__{name}")
-            for c in columns
-            for name, f in (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))
-        ]
-    )
-    rows = []
-    for c in columns:
-        part = {n: F.col(f"{c}__{n}").alias(n) for n in ("count", "mean", "std", "min", "max")}
-        q = [F.lit(v).cast("double").alias(n) for v, n in zip(quartiles[(), c], ("q25", "q50", "q75"))]
-        rows.append(F.struct(F.lit(c).alias("column"), part["count"], part["mean"], part["std"], part["min"], *q, part["max"]))
-    return _per_column(totals, rows)
+    totals = long_values(df, columns).groupBy("c").agg(
+        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+        F.min("v").alias("min"), F.max("v").alias("max"),
+    ).collect()
+    counts = {((), columns[r["c"]]): r["count"] for r in totals}
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], counts=counts).values()
+    rows = [
+        (columns[r["c"]], r["count"], r["mean"], r["std"], r["min"], *quartiles[(), columns[r["c"]]], r["max"])
+        for r in sorted(totals, key=lambda r: r["c"])
+    ]
+    schema = "column string, count long, mean double, std double, min double, q25 double, q50 double, q75 double, max double"
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def numeric_describe_raw(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -151,28 +149,22 @@ def outlier_summary(df: DataFrame, spec: PanelSpec) -> DataFrame:
     }
     both = clean_data(df.withColumns(raw), spec, "domain")
     sides = [*raw, *columns]
-    medians = exact_quantiles(both, sides, [0.5]).values()
-    totals = both.agg(
-        F.count("*").alias("__rows"),
-        *[f(c).alias(f"{n}_{c}") for c in sides for n, f in (("min", F.min), ("max", F.max), ("count", F.count))],
-    )
+    found = long_values(both, sides).groupBy("c").agg(
+        F.count("v").alias("count"), F.count("*").alias("rows"), F.min("v").alias("min"), F.max("v").alias("max")
+    ).collect()
+    stats = {sides[r["c"]]: r for r in found}
+    medians = exact_quantiles(both, sides, [0.5], counts={((), c): r["count"] for c, r in stats.items()}).values()
     rows = []
-    for c in columns:
-        def side(prefix, name):
-            return [
-                F.col(f"min_{name}").cast("double").alias(f"{prefix}_min"),
-                F.lit(medians[(), name][0]).cast("double").alias(f"{prefix}_median"),
-                F.col(f"max_{name}").cast("double").alias(f"{prefix}_max"),
-            ]
-
-        lost = F.col(f"count_raw__{c}") - F.col(f"count_{c}")
+    for c in columns if stats else []:
+        before, after = stats[f"raw__{c}"], stats[c]
+        lost = (before["count"] - after["count"]) / after["rows"] * 100
         rows.append(
-            F.struct(
-                F.lit(c).alias("column"), *side("raw", f"raw__{c}"), *side("clean", c),
-                _share(lost, F.col("__rows")).alias("dropped_pct"),
-            )
+            (c, before["min"], medians[(), f"raw__{c}"][0], before["max"], after["min"], medians[(), c][0], after["max"], lost)
         )
-    return _per_column(totals, rows)
+    schema = "column string, " + ", ".join(
+        f"{side}_{name} double" for side in ("raw", "clean") for name in ("min", "median", "max")
+    )
+    return df.sparkSession.createDataFrame(rows, schema + ", dropped_pct double")
 
 
 def write_eda_reports(df: DataFrame, spec: PanelSpec, out_dir: str) -> dict[str, str]:

@@ -67,11 +67,23 @@ class _Range:
     settled: bool = False
 
 
+def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """One row per cell: ``by``, ``c`` (the column's position) and ``v``.
+
+    Grouped by ``c`` this aggregates map-side like a wide aggregate, but with
+    one small piece of compiled code, and the final merge of different columns
+    goes to different tasks.
+    """
+    cells = [F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)]
+    return df.select(*by, F.inline(F.array(*cells)))
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
+    counts: dict[Key, int] | None = None,
     direct_rows: int = DIRECT_ROWS,
     range_rows: int = RANGE_ROWS,
     sample_rows: int = SAMPLE_ROWS,
@@ -79,21 +91,27 @@ def exact_quantiles(
     """Linearly interpolated quantiles of the non-null values, per group in ``by``.
 
     ``by`` is for few groups such as classes or folds; their number is checked.
+    ``counts`` are the filled cells per (group, column), if already known.
     """
     by, columns, probs = tuple(by), list(columns), tuple(float(p) for p in probs)
     result = Quantiles(probs, tuple(df.schema[c] for c in by))
     if not columns:
         return result
     data = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).dropna(subset=list(by))
-    counts = data.groupBy(*by).agg(*[F.count(c).alias(c) for c in columns]).take(MAX_GROUPS + 1)
-    if len(counts) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} quantile groups")
-    sizes = {(tuple(r[b] for b in by), c): r[c] for r in counts for c in columns}
+    cells = long_values(data, columns, by).where(F.col("v").isNotNull())
+    if counts is None:
+        limit = MAX_GROUPS * len(columns)
+        rows = cells.groupBy(*by, "c").agg(F.count("*").alias("n")).take(limit + 1)
+        if len(rows) > limit:
+            raise ValueError(f"more than {MAX_GROUPS} quantile groups")
+        counts = {(tuple(r[b] for b in by), columns[r["c"]]): r["n"] for r in rows}
+    groups = dict.fromkeys(g for g, _ in counts) or ({} if by else {(): None})
+    sizes = {(g, c): counts.get((g, c), 0) for g in groups for c in columns}
     if max(sizes.values(), default=0) <= direct_rows:
+        result.found = {key: (None,) * len(probs) for key in sizes}
         wanted = F.array(*[F.lit(p) for p in probs])
-        for r in data.groupBy(*by).agg(*[F.percentile(c, wanted).alias(c) for c in columns]).collect():
-            for c in columns:
-                result.found[tuple(r[b] for b in by), c] = tuple(r[c] or [None] * len(probs))
+        for r in cells.groupBy(*by, "c").agg(F.percentile("v", wanted).alias("q")).collect():
+            result.found[tuple(r[b] for b in by), columns[r["c"]]] = tuple(r["q"])
         return result
 
     ranges = {}

@@ -8,6 +8,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Settings for wide tables.
+
+    Dozens of cleaning expressions compile into one Java method larger than the
+    JVM optimises (8000 bytes of bytecode); beyond that size Spark then splits them.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and the bench. On a cluster, bring your own."""
     spark = (
@@ -22,7 +32,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return tune(spark)
 
 
 def shared_dir(spark: SparkSession) -> str:
