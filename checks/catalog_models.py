@@ -159,31 +159,31 @@ def j15(spark, sf):
 
 @register("j16_cross_validation")
 def j16(spark, sf):
-    return evaluate.score_board(prepared(spark, sf), S, [evaluate.build_pipeline("robust", "onehot", SMALL["DecisionTree"], model="DecisionTree")], 3)
+    return evaluate.score_board(prepared(spark, sf), S, [evaluate.build_pipeline("robust", "onehot", SMALL["DecisionTree"], model="DecisionTree")], 3, parallelism=3)
 
 
 @register("k3_outlier_ablation")
 def k3(spark, sf):
-    return ablations.ablation_outlier(panel(spark, sf), S, cv=2, models=TREE)
+    return ablations.ablation_outlier(panel(spark, sf), S, cv=2, models=TREE, parallelism=2)
 
 
 @register("k4_imbalance_ablation")
 def k4(spark, sf):
-    return ablations.ablation_imbalance(prepared(spark, sf), S, cv=2, models=TREE)
+    return ablations.ablation_imbalance(prepared(spark, sf), S, cv=2, models=TREE, parallelism=2)
 
 
 @register("k5_scaler_encoder_ablation")
 def k5(spark, sf):
-    return ablations.ablation_preprocessing(prepared(spark, sf), S, SMALL["DecisionTree"], cv=2)
+    return ablations.ablation_preprocessing(prepared(spark, sf), S, SMALL["DecisionTree"], cv=2, parallelism=4)
 
 
 @register("k6_model_comparison")
 def k6(spark, sf):
-    return ablations.compare_models(prepared(spark, sf), S, 2, {n: SMALL[n] for n in ("DecisionTree", "RandomForest", "LogisticRegression")})
+    return ablations.compare_models(prepared(spark, sf), S, 2, {n: SMALL[n] for n in ("DecisionTree", "RandomForest", "LogisticRegression")}, parallelism=2)
 
 
 SWEEP = {
-    "scalers": ["standard", "robust"], "encoders": ["onehot", "ordinal", "target"], "models": ["DecisionTree"], "cv": 2,
+    "scalers": ["standard", "robust"], "encoders": ["ordinal", "target"], "models": ["DecisionTree"], "cv": 2, "parallelism": 4,
     "param_grids": {"DecisionTree": {"max_depth": [3, 5]}},
 }
 
@@ -206,7 +206,7 @@ def f13(spark, sf):
 @register("k10_grid_search")
 def k10(spark, sf):
     config = evaluate.build_pipeline("robust", "ordinal", SMALL["DecisionTree"])
-    return evaluate.tune_with_gridsearch(prepared(spark, sf), S, config, {"max_depth": [3, 5], "min_samples_leaf": [1, 20]}, 2)[0]
+    return evaluate.tune_with_gridsearch(prepared(spark, sf), S, config, {"max_depth": [3, 5], "min_samples_leaf": [1, 20]}, 2, parallelism=2)[0]
 
 
 @register("k11_param_grids")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from typing import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -122,15 +124,51 @@ def correlation(df: DataFrame, columns: Sequence[str], method: str = "pearson")
         return ranks.kendall(df, columns)
     if method != "pearson":
         raise ValueError(f"unknown correlation method: {method}")
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    # the diagonal is 1 unless the column is constant, so it is computed like the rest
-    totals = df.agg(*[F.corr(columns[i], columns[j]).alias(f"{i}_{j}") for i, j in pairs])
+    return _pearson(df, columns)
+
+
+def _pearson(df: DataFrame, columns: list[str]) -> DataFrame:
+    """All pairs from four small matrices of sums.
+
+    One aggregate per pair would update hundreds of buffers per row. Each task
+    instead multiplies its batches as matrices and returns one small set of
+    sums; values are taken relative to their column's mean, so that no
+    precision is lost to large sums.
+    """
+    p = len(columns)
+    means = {columns[r["c"]]: r["m"] for r in long_values(df, columns).groupBy("c").agg(F.avg("v").alias("m")).collect()}
+    centre = np.array([means.get(c) or 0.0 for c in columns])
+
+    def sums(batches):
+        total = np.zeros((4, p, p))
+        for batch in batches:
+            x = batch.to_numpy(dtype=float)
+            there = ~np.isnan(x)
+            x = np.where(there, x - centre, 0.0)
+            there = there.astype(float)
+            total += np.stack([there.T @ there, x.T @ there, x.T @ x, (x * x).T @ there])
+        yield pd.DataFrame({"i": np.arange(p * p), **{n: total[k].ravel() for k, n in enumerate("nsuq")}})
+
+    values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    parts = values.mapInPandas(sums, "i int, n double, s double, u double, q double")
+    found = {r["i"]: r for r in parts.groupBy("i").agg(*[F.sum(c).alias(c) for c in "nsuq"]).collect()}
     rows = []
     for i, a in enumerate(columns):
         for j, b in enumerate(columns):
-            value = F.col(f"{min(i, j)}_{max(i, j)}")
-            rows.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), value.alias("correlation")))
-    return _per_column(totals, rows)
+            here, back = found.get(i * p + j), found.get(j * p + i)
+            rows.append((a, b, _correlation(here, back) if here else None))
+    return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, correlation double")
+
+
+def _correlation(here, back) -> float | None:
+    n = here["n"]
+    if not n:
+        return None
+    spread = [r["q"] - r["s"] ** 2 / n for r in (here, back)]
+    if any(v <= 1e-13 * r["q"] for v, r in zip(spread, (here, back))):
+        return None  # constant over the shared rows
+    value = (here["u"] - here["s"] * back["s"] / n) / (spread[0] * spread[1]) ** 0.5
+    return max(-1.0, min(1.0, value))
 
 
 def correlation_matrix(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
+from threading import Lock
 from typing import Any, Sequence
 
 from pyspark.ml import PipelineModel
@@ -81,10 +82,17 @@ def cross_validate(
         classes = sorted(r[0] for r in folded.select(spec.label).distinct().take(metrics.MAX_CLASSES))
         scalers = {c.scaler for c in configs}
         stats = fit_stats(folded, numeric, categorical, spec.label, k, scalers)
-        for pair in dict.fromkeys((c.scaler, c.encoder) for c in configs):
+        lock = Lock()
+
+        def score(job):
+            pair, fold = job
             sharing = [(i, c) for i, c in enumerate(configs) if (c.scaler, c.encoder) == pair]
-            for fold in range(k):
-                _score_fold(folded, spec, classes, stats[fold].prep(*pair), fold, sharing, rows, notes, parallelism)
+            _score_fold(folded, spec, classes, stats[fold].prep(*pair), fold, sharing, rows, notes, lock)
+
+        pairs = dict.fromkeys((c.scaler, c.encoder) for c in configs)
+        # each job keeps one vector table, so parallelism also bounds what is kept at a time
+        with ThreadPool(max(1, parallelism)) as pool:
+            pool.map(score, [(pair, fold) for pair in pairs for fold in range(k)], chunksize=1)
     finally:
         folded.unpersist()
     schema = "config int, fold int, actual double, predicted double, n long"
@@ -95,33 +103,26 @@ def cross_validate(
     return metrics.fold_summary(scores, ["config"]), notes
 
 
-def _score_fold(folded, spec, classes, prep: FittedPrep, fold, sharing, rows, notes, parallelism) -> None:
+def _score_fold(folded, spec, classes, prep: FittedPrep, fold, sharing, rows, notes, lock) -> None:
     test = F.col("fold") == fold
     inner = F.when(test, F.lit(WHOLE)).otherwise(F.col("inner_fold")) if prep.encoder == "target" else None
     base = folded.withColumn("y", class_number(spec.label, classes))
     vectors = prep.vectors(base, [spec.row_id, "y", "fold"], inner=inner).persist()
     train, held_out = vectors.where(~test), vectors.where(test)
-
-    def run(item):
-        index, config = item
-        if notes[index][1]:
-            return
-        started = time.time()
-        try:
-            model = fit_config(config, train, spec, classes)
-            counts = metrics.confusion_counts(model.transform(held_out), "y", "prediction").collect()
-            rows.extend((index, fold, r["actual"], r["predicted"], r["n"]) for r in counts)
-            notes[index] = (notes[index][0] + time.time() - started, None)
-        except Exception as error:  # noqa: BLE001  one failing configuration must not end the others
-            notes[index] = (notes[index][0] + time.time() - started, str(error).splitlines()[0])
-
     try:
-        if parallelism > 1:
-            with ThreadPool(parallelism) as pool:
-                pool.map(run, sharing)
-        else:
-            for item in sharing:
-                run(item)
+        for index, config in sharing:
+            if notes[index][1]:
+                continue
+            started, error, counts = time.time(), None, []
+            try:
+                model = fit_config(config, train, spec, classes)
+                counts = metrics.confusion_counts(model.transform(held_out), "y", "prediction").collect()
+            except Exception as problem:  # noqa: BLE001  one failing configuration must not end the others
+                error = str(problem).splitlines()[0] if str(problem) else type(problem).__name__
+            with lock:
+                rows.extend((index, fold, r["actual"], r["predicted"], r["n"]) for r in counts)
+                seconds, earlier = notes[index]
+                notes[index] = (seconds + time.time() - started, earlier or error)
     finally:
         vectors.unpersist()
 
