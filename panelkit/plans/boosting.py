@@ -27,19 +27,21 @@ class SoftmaxBoosting:
         start = [math.log((counts.get(k, 0) or 1e-9) / total) for k in range(classes)]
         scores = F.array(*[F.lit(s) for s in start])
         data = train.select("features", "y", scores.alias("raw")).persist()
-        held = [data]
         stages = []
         for stage in range(self.n_estimators):
             stages.append(self._stage(data, classes, stage))
-            data = _advance(data, stages[-1], classes)
-            if (stage + 1) % CUT_EVERY == 0 and stage + 1 < self.n_estimators:
-                # the plan would grow with every stage: write it out and go on from there
-                data = data.checkpoint()
-                for old in held:
-                    old.unpersist()
-                held = []
-        for old in held:
-            old.unpersist()
+            if stage + 1 == self.n_estimators:
+                break
+            # each stage starts from kept scores; every few stages they are written out to end the lineage
+            following = _advance(data, stages[-1], classes)
+            if (stage + 1) % CUT_EVERY == 0:
+                following = following.checkpoint()
+            else:
+                following = following.persist()
+                following.count()
+            data.unpersist()
+            data = following
+        data.unpersist()
         return SoftmaxBoostingModel(start, stages, classes)
 
     def _stage(self, data: DataFrame, classes: int, stage: int) -> list[tuple]:

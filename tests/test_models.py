@@ -5,8 +5,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from panelkit.operators import features, knn, prep, smote
-from panelkit.plans import evaluate, models, search, sweep, tasks
-from panelkit.plans.boosting import SoftmaxBoosting
+from panelkit.plans import boosting, evaluate, models, search, sweep, tasks
+
 from panelkit.session import fresh_path
 from panelkit.sources.panel import PANEL_SPEC, derived_panel
 from panelkit.sources.sinks import save_model
@@ -109,14 +109,15 @@ def test_ridge_is_the_closed_form(spark):
     assert model.coefficients.toArray() == pytest.approx(wanted, abs=1e-5)
 
 
-def test_boosting_learns_three_classes(spark):
+def test_boosting_learns_three_classes(spark, monkeypatch):
     g = np.random.default_rng(9)
     x = g.uniform(size=(300, 2))
     y = (x[:, 0] > 0.33).astype(int) + (x[:, 0] > 0.66).astype(int)
     rows = [(float(v), list(map(float, r))) for v, r in zip(y, x)]
     df = spark.createDataFrame(rows, "y double, x array<double>").select("y", array_to_vector("x").alias("features"))
-    model = SoftmaxBoosting(12, 0.3, 2).fit(df, 3)  # twelve stages cross one checkpoint
-    assert len(model.stages) == 12
+    monkeypatch.setattr(boosting, "CUT_EVERY", 3)  # stages cross a checkpoint
+    model = boosting.SoftmaxBoosting(5, 0.8, 2).fit(df, 3)
+    assert len(model.stages) == 5
     right = model.transform(df).where("prediction = y").count()
     assert right > 285
 
