@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.operators.sampling import sample_rows
+from panelkit.session import shared_dir
 
 CELL_ROWS = 4_000
 BLOCK_ROWS = 8_000
@@ -48,7 +49,9 @@ def nearest_neighbours(points: DataFrame, k: int, seed: int = 42, cell_rows: int
                 cell = away.argmin(axis=1)
                 yield part.assign(cell=cell.astype("int64"), d=away[np.arange(len(part)), cell])
 
-    placed = points.mapInPandas(assign, POINT + ", cell long, d double")
+    # both tables below are read several times; written out they are computed once and outlive an executor
+    shared_dir(spark)
+    placed = points.mapInPandas(assign, POINT + ", cell long, d double").checkpoint()
     cells = placed.groupBy("group", "cell").agg(F.count("*").alias("n"), F.max("d").alias("reach")).collect()
     # one entry per pivot
     reach = {(r["group"], r["cell"]): (r["reach"], math.ceil(r["n"] / block_rows)) for r in cells}
@@ -56,7 +59,7 @@ def nearest_neighbours(points: DataFrame, k: int, seed: int = 42, cell_rows: int
     data = _blocked(placed.select("group", "cell", "id", "x").join(F.broadcast(blocks), ["group", "cell"]), "data_block")
 
     own = placed.select("group", "cell", "id", "x")
-    first = _merged(_search(data, own, blocks, k), k)
+    first = _merged(_search(data, own, blocks, k), k).checkpoint()
     radii = own.join(first, ["group", "id"], "left")
     edges = spark.sparkContext.broadcast(reach)
 
