@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import licenses, simhash
+from panelkit.llm import licenses, packing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,3 +29,8 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(_table(spark, sf_dir, "documents")))
+
+
+@_query
+def op8_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
