@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from panelkit.llm.common import blocks, id_and_text
+from panelkit.llm.hashing import WORD_BYTES
 
 #: Phrases whose places are the base result, with their labels.
 BASE_PHRASES = (
@@ -45,10 +46,6 @@ TEMPLATES = (
 MIN_MATCH = 4  # words of a match that enters a chain
 MAX_GAP = 6  # words that may lie between two matches of a chain, in the document and in the template
 COVERED = 0.8  # share of a template's words a chain must cover
-#: Every byte that is no word character becomes a space, capitals become small: then split() gives the words.
-_WORD_BYTES = bytes(
-    b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
-)
 _SCHEMA = pa.schema(
     [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()),
      ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64()), ("spans", pa.string())]
@@ -56,7 +53,7 @@ _SCHEMA = pa.schema(
 
 
 def words_of(text: bytes) -> list[bytes]:
-    return text.translate(_WORD_BYTES).split()
+    return text.translate(WORD_BYTES).split()
 
 
 class SuffixAutomaton:
@@ -201,7 +198,7 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
         for ids, texts in blocks(batches):
             rows = []
             for doc_id, raw in zip(ids, texts, strict=True):
-                text = raw.translate(_WORD_BYTES)
+                text = raw.translate(WORD_BYTES)
                 words = text.split()
                 places = base_places(words, text)
                 spans = scanner.spans(words)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import licenses, packing, pii, simhash, toxicity
+from panelkit.llm import decontaminate, licenses, packing, pii, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -44,3 +44,27 @@ def op7_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(_table(spark, sf_dir, "documents")))
+
+
+@_query
+def op2_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+#: Word shingles of both tables, joined as text; the words are those of hashing.WORD_BYTES.
+_SHINGLES = """
+    SELECT DISTINCT id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i : i + 4], ' ') END AS s
+    FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i
+          FROM (SELECT {id} AS id, list_filter(string_split(regexp_replace(translate(text,
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]+', ' ', 'g'), ' '),
+                lambda x: x <> '') AS w
+                FROM {table}) WHERE len(w) > 0)"""
+
+ORACLE["op2_benchmark_containment"] = f"""
+    WITH d AS ({_SHINGLES.format(id="doc_id", table="documents")}),
+         b AS ({_SHINGLES.format(id="item_id", table="benchmark")}),
+         n AS (SELECT id, count(*) AS n FROM b GROUP BY id)
+    SELECT d.id AS doc_id, b.id AS item_id, count(*) AS shared, any_value(n.n) AS n_shingles,
+           count(*)::DOUBLE / any_value(n.n) AS containment
+    FROM d JOIN b ON d.s = b.s AND (length(d.s) - length(replace(d.s, ' ', ''))) = (length(b.s) - length(replace(b.s, ' ', '')))
+    JOIN n ON n.id = b.id GROUP BY d.id, b.id HAVING count(*) >= 0.8 * any_value(n.n)"""
