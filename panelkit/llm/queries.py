@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import decontaminate, licenses, packing, pii, simhash, toxicity
+from panelkit.llm import ann, decontaminate, licenses, packing, pii, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -68,3 +68,21 @@ ORACLE["op2_benchmark_containment"] = f"""
            count(*)::DOUBLE / any_value(n.n) AS containment
     FROM d JOIN b ON d.s = b.s AND (length(d.s) - length(replace(d.s, ' ', ''))) = (length(b.s) - length(replace(b.s, ' ', '')))
     JOIN n ON n.id = b.id GROUP BY d.id, b.id HAVING count(*) >= 0.8 * any_value(n.n)"""
+
+
+@_query
+def op10_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+ORACLE["op10_one_bit_neighbours"] = """
+    WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+               WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+         p AS (SELECT q.vec_id AS query_id, e.vec_id, sqrt(list_sum(list_transform(range(1, len(q.v) + 1),
+                          lambda i: (e.v[i] - q.v[i]) * (e.v[i] - q.v[i])))) AS score
+               FROM e AS q JOIN e ON q.vec_id % 100 = 0 AND q.vec_id <> e.vec_id AND len(q.v) = len(e.v)),
+         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM p)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
