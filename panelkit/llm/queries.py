@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import ann, decontaminate, licenses, packing, pii, simhash, toxicity
+from panelkit.llm import ann, decontaminate, licenses, line_dedup, packing, pii, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -86,3 +86,24 @@ ORACLE["op10_one_bit_neighbours"] = """
                FROM e AS q JOIN e ON q.vec_id % 100 = 0 AND q.vec_id <> e.vec_id AND len(q.v) = len(e.v)),
          r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM p)
     SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
+
+
+@_query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op5_line_dedup"] = """
+    WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+         l AS (SELECT doc_id, unnest(range(len(ls))) AS line_no, trim(unnest(ls), ' ') AS t FROM s),
+         d AS (SELECT t, min((doc_id, line_no)) AS place, string_split(t, ' ') AS w FROM l WHERE t <> '' GROUP BY t),
+         v AS (SELECT t, place, len(w) AS n, i, md5(array_to_string(w[1 : i - 1] || w[i + 1 :], ' ')) AS rest
+               FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM d WHERE len(w) >= 10)),
+         near AS (SELECT a.t FROM v a JOIN v b ON a.n = b.n AND a.i = b.i AND a.rest = b.rest AND b.place < a.place
+                  UNION SELECT a.t FROM v a JOIN d b ON a.n = len(b.w) + 1 AND len(b.w) >= 10 AND a.rest = md5(b.t) AND b.place < a.place
+                  UNION SELECT b.t FROM v a JOIN d b ON a.n = len(b.w) + 1 AND len(b.w) >= 10 AND a.rest = md5(b.t) AND a.place < b.place),
+         g AS (SELECT l.doc_id, l.line_no FROM l JOIN d ON l.t = d.t
+               WHERE (l.doc_id, l.line_no) <> d.place OR d.t IN (SELECT t FROM near))
+    SELECT s.doc_id, len(s.ls)::BIGINT AS n_lines, count(g.line_no)::BIGINT AS n_removed,
+           coalesce(string_agg(g.line_no::VARCHAR, ',' ORDER BY g.line_no), '') AS removed_lines
+    FROM s LEFT JOIN g ON s.doc_id = g.doc_id GROUP BY s.doc_id, s.ls"""
