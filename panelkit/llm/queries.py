@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import ann, decontaminate, licenses, line_dedup, packing, pii, simhash, toxicity
+from panelkit.llm import ann, decontaminate, licenses, line_dedup, packing, pii, simhash, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -107,3 +107,8 @@ ORACLE["op5_line_dedup"] = """
     SELECT s.doc_id, len(s.ls)::BIGINT AS n_lines, count(g.line_no)::BIGINT AS n_removed,
            coalesce(string_agg(g.line_no::VARCHAR, ',' ORDER BY g.line_no), '') AS removed_lines
     FROM s LEFT JOIN g ON s.doc_id = g.doc_id GROUP BY s.doc_id, s.ls"""
+
+
+@_query
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(_table(spark, sf_dir, "documents"))
