@@ -63,11 +63,12 @@ class Chunk:
         return np.searchsorted(self.offsets, places, "right") - 1
 
 
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
+def chunks(batches: Iterator[pa.RecordBatch], limit: int | None = None) -> Iterator[Chunk]:
+    limit = limit or CHUNK_BYTES
     ids, texts, size = [], [], 0
     for some_ids, some in blocks(batches):
         for one, text in zip(some_ids, some, strict=True):
-            if texts and size + len(text) > CHUNK_BYTES:
+            if texts and size + len(text) > limit:
                 yield Chunk.of(ids, texts)
                 ids, texts, size = [], [], 0
             ids.append(one)
@@ -106,21 +107,21 @@ def by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
         yield int(own[start]), slice(int(start), int(end))
 
 
-def texts(docs: DataFrame) -> DataFrame:
+def texts(docs: DataFrame, limit: int | None = None) -> DataFrame:
     """A row with the compressed text of every chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, limit):
             yield batch([chunk.packed()])
 
     return id_and_text(docs).mapInArrow(run, SCHEMA)
 
 
-def ask(docs: DataFrame, question: Callable[[Chunk], list[tuple]]) -> DataFrame:
+def ask(docs: DataFrame, question: Callable[[Chunk], list[tuple]], limit: int | None = None) -> DataFrame:
     """The rows that `question` makes of every chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, limit):
             if rows := question(chunk):
                 yield batch(rows)
 
@@ -136,7 +137,7 @@ def answer(questions: DataFrame, reply: Callable[[list[dict]], list[tuple]]) ->
     return questions.groupBy("bucket", "kind").applyInArrow(run, SCHEMA)
 
 
-def meet(docs: DataFrame, answers: DataFrame, use: Callable[[Chunk, dict[int, list[dict]]], pa.Table], schema: str) -> DataFrame:
+def meet(docs: DataFrame, answers: DataFrame, use: Callable[[Chunk, dict[int, list[dict]]], pa.Table], schema: str, limit: int | None = None) -> DataFrame:
     """Brings every chunk's text together with its answers: use(chunk, answers by kind in order of bucket)."""
 
     def run(group: pa.Table) -> pa.Table:
@@ -153,4 +154,4 @@ def meet(docs: DataFrame, answers: DataFrame, use: Callable[[Chunk, dict[int, li
                 kinds.setdefault(row["kind"], []).append(row)
         return pa.concat_tables([use(Chunk.unpacked(row), kinds) for row in own])
 
-    return texts(docs).unionByName(answers).groupBy("chunk").applyInArrow(run, schema)
+    return texts(docs, limit).unionByName(answers).groupBy("chunk").applyInArrow(run, schema)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import ann, decontaminate, licenses, line_dedup, packing, pii, simhash, suffix_dedup, toxicity
+from panelkit.llm import ann, decontaminate, licenses, line_dedup, lm_score, packing, pii, simhash, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -112,3 +112,9 @@ ORACLE["op5_line_dedup"] = """
 @_query
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm_score.cross_entropy_difference(_table(spark, sf_dir, "documents"), good)
