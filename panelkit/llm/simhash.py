@@ -173,6 +173,15 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield edges(kept)
 
 
+def links(reps: DataFrame) -> DataFrame:
+    """(u, v): edges between `rep` values whose components are those of all links between fingerprints of `reps` (fp, rep)."""
+    rows = saved(reps.mapInArrow(_emit_keys, "band int, key long, sub long, fp long, rep long"))
+    large = rows.groupBy("band", "key").count().where(F.col("count") > LARGE_KEY).select("band", "key")
+    again = rows.join(large, ["band", "key"], "left_semi").mapInArrow(_emit_subkeys, rows.schema)
+    meeting = rows.join(large, ["band", "key"], "left_anti").unionByName(again)
+    return meeting.repartition("band", "key", "sub").sortWithinPartitions("band", "key", "sub").mapInArrow(_links, "u long, v long")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fp, component_id) of every row; component_id is the smallest id its links reach, itself included.
 
@@ -183,12 +192,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     fps = saved(fingerprints(docs))
     reps = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    rows = saved(reps.where("rep IS NOT NULL").mapInArrow(_emit_keys, "band int, key long, sub long, fp long, rep long"))
-    large = rows.groupBy("band", "key").count().where(F.col("count") > LARGE_KEY).select("band", "key")
-    again = rows.join(large, ["band", "key"], "left_semi").mapInArrow(_emit_subkeys, rows.schema)
-    meeting = rows.join(large, ["band", "key"], "left_anti").unionByName(again)
-    links = meeting.repartition("band", "key", "sub").sortWithinPartitions("band", "key", "sub").mapInArrow(_links, "u long, v long")
-    found = components(links).withColumnsRenamed({"node": "rep", "component": "component_id"})
+    found = components(links(reps.where("rep IS NOT NULL"))).withColumnsRenamed({"node": "rep", "component": "component_id"})
     by_fp = reps.join(found, "rep", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
     return fps.join(by_fp, "fp", "left").select("doc_id", "fp", "component_id")
 

@@ -1,0 +1,118 @@
+"""The stages of the corpus pipeline on a small corpus, each against what it has to do to its own input."""
+
+import re
+
+import pytest
+import xxhash
+from cases import awkward_rows, prose
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from panelkit.llm import queries
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    where = str(tmp_path_factory.mktemp("corpus"))
+    item = prose(900, 30)
+    rows = [r for r in awkward_rows() if len(r[1] or "") < 250_000]
+    rows += [(100 + i, prose(i, 200)) for i in range(100, 160)]
+    rows += [(300 + i, prose(i, 90) + " idiot " + prose(i + 1, 40)) for i in range(500, 530)]
+    rows += [(400, prose(100, 200)), (401, prose(101, 200).replace("an", "em", 1)), (402, prose(777, 80) + " " + " ".join(item.split()) + " " + prose(778, 80))]
+    spark.createDataFrame([(i, t, "en", "src", None if t is None else len(t)) for i, t in rows], SCHEMA).repartition(3).write.parquet(f"{where}/documents.parquet")
+    labels = [(i, 1, int(i >= 800)) for i, _ in rows if i and 100 <= i < 400 or i and i >= 800]
+    labels = [(i, 1, int("idiot" in (t or ""))) for i, t in rows if i and i >= 100 and i not in (400, 401, 402)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{where}/labels.parquet")
+    spark.createDataFrame([(0, item), (1, None)], "item_id long, text string").write.parquet(f"{where}/benchmark.parquet")
+    return where
+
+
+@pytest.fixture(scope="module")
+def steps(spark, folder):
+    """What each stage was given and what it returned, written in between."""
+    docs, out = spark.read.parquet(f"{folder}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, folder).write.parquet(f"{folder}/out-{name}")
+        done = spark.read.parquet(f"{folder}/out-{name}")
+        out[name] = (docs, done)
+        docs = done
+    return out
+
+
+def _rows(df):
+    return sorted(map(tuple, df.select("doc_id", "text").collect()), key=repr)
+
+
+def test_stages(steps):
+    assert list(steps) == ["toxicity", "line_dedup", "near_dedup", "decontamination", "packing"]
+    for name, (_, done) in steps.items():
+        if name != "packing":
+            assert done.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_toxic_documents_go(steps):
+    before, after = (_rows(d) for d in steps["toxicity"])
+    assert after == [r for r in before if "idiot" not in (r[1] or "")] and len(after) < len(before)
+
+
+def test_repeated_lines_go(steps):
+    before, after = steps["line_dedup"]
+    rows = sorted(((i is None, i or 0, t, n) for i, t, n in before.select("doc_id", "text", "n_chars").collect()), key=repr)
+    assert after.count() == len(rows)
+    seen, first = set(), {}
+    for no_id, i, t, _ in sorted(rows, key=lambda r: r[:2]):
+        for n, line in enumerate((t or "").split("\n")):
+            first.setdefault(line.strip(" "), (no_id, i, n))
+    for r in after.where("doc_id >= 100").collect():
+        for line in r["text"].split("\n"):
+            assert line.strip(" ") == "" or (line.strip(" "), r["doc_id"]) not in seen
+            seen.add((line.strip(" "), r["doc_id"]))
+            assert line.strip(" ") == "" or first[line.strip(" ")][1] == r["doc_id"]
+        assert r["n_chars"] == len(r["text"])
+    texts = {r["doc_id"]: r["text"] for r in after.collect()}
+    assert texts[400].strip() == "" and len(texts[401].strip()) < 10  # a copy, and one with a word changed
+    assert texts[2] is None
+
+
+def test_one_of_each_group_stays(steps):
+    before, after = (_rows(d) for d in steps["near_dedup"])
+
+    def mark(text):
+        words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+        hashes = [xxhash.xxh64_intdigest(b" ".join(words[i : i + 3]), seed=42) for i in range(max(1, len(words) - 2))] if words else []
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+    marks = [(i, mark(t)) for i, t in before if i is not None]
+    label = {i: i for i, _ in marks}
+    for _ in marks:
+        for i, p in marks:
+            label[i] = min(label[j] for j, q in marks if bin(p ^ q).count("1") <= 2)
+    assert after == [r for r in before if r[0] is None or label[r[0]] == r[0]]
+
+
+def test_leaks_go(steps):
+    before, after = (_rows(d) for d in steps["decontamination"])
+    assert after == [r for r in before if r[0] != 402] and len(after) == len(before) - 1
+
+
+def test_all_documents_are_packed(steps):
+    before, after = steps["packing"]
+    pieces = after.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("all"), F.count("*").alias("k"))
+    got = {r["doc_id"]: r for r in pieces.collect()}
+    copies = {r["doc_id"]: r["n"] for r in before.groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    assert set(got) == set(copies) and all(got[i]["n"] == got[i]["all"] * n for i, n in copies.items() if i is not None)
+
+
+def test_run_equals_its_stages(spark, folder, steps):
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    got, wanted = corpus_pipeline.run(spark, folder), steps["packing"][1]
+    assert got.columns == names and sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, wanted.collect()), key=repr)
+
+
+def test_registered():
+    assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert corpus_pipeline.ORACLE_SQL is None and "pipeline" not in entry.oracle_sql()
