@@ -8,6 +8,9 @@ left over are filled greedily, and the pieces, ranked inside their class, are de
 
 from __future__ import annotations
 
+import functools
+import itertools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -23,12 +26,20 @@ END_ID = 2
 STEP = 16  # tokens; a piece takes its length rounded up to this in a pattern, so padding is about half of it a piece
 CLASSES = CAPACITY // STEP
 BUCKET_ROWS = 100_000  # pieces of one class that are ranked together
-CACHED_WORDS = 300_000  # words whose ids a worker remembers
+CACHED_WORDS = 500_000  # words whose ids a worker remembers, and as many older ones
+_LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+#: A comma or full stop that ends a word without following an ASCII letter or digit, or a Latin-1 letter.
+_SIGN_ALONE = re.compile(rb"(?<![a-z0-9])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])[.,](?= )")
 _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
 
 
 class WordTokenizer:
-    """Ids of whole texts. The vocabulary's rules never join characters across white space, so words are encoded once."""
+    """Ids of whole texts. The vocabulary's rules never join characters across white space, so words are encoded once.
+
+    The rules make every letter small and take a sign after a letter or digit for itself, so capitals are made small and
+    such signs split off beforehand; texts where that could matter (special tokens, signs that follow signs) are left as
+    they are.
+    """
 
     def __init__(self, path: str | None):
         from tokenizers import Tokenizer
@@ -39,21 +50,42 @@ class WordTokenizer:
             path = public_tokenizers.path("word_bpe_49k.json")
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def words(self, text: bytes) -> list[bytes]:
+        if b"<|" in text:
+            return text.split()
+        text = text.translate(_LOWER)
+        if not _SIGN_ALONE.search(text):
+            text = text.replace(b", ", b" , ").replace(b". ", b" . ")
+        return text.split()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers, the end id last."""
-        split = [t.split() for t in texts]
+        split = [self.words(t) for t in texts]
         if len(self.known) > CACHED_WORDS:
-            self.known = {}
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
+            self.known, self.older = {}, self.known
+        known, older, new = self.known, self.older, []
+        for word in set(itertools.chain.from_iterable(split)):
+            if word not in known:
+                ids = older.get(word)
+                if ids is None:
+                    new.append(word)
+                else:
+                    known[word] = ids
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
             found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
             for word, encoding in zip(part, found, strict=True):
                 known[word] = np.array(encoding.ids, "<u4").tobytes()
         end = END_ID.to_bytes(4, "little")
-        return [b"".join([known[w] for w in words]) + end for words in split]
+        return [b"".join(map(known.__getitem__, words)) + end for words in split]
+
+
+@functools.cache
+def _tokenizer(path: str | None) -> WordTokenizer:
+    """One for all tasks of a worker."""
+    return WordTokenizer(path)
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -63,7 +95,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
-        encoder = WordTokenizer(tokenizer)
+        encoder = _tokenizer(tokenizer)
         size = 4 * CAPACITY
         for ids, texts in blocks(batches):
             rows = [
