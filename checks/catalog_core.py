@@ -744,16 +744,17 @@ def points(spark, sf):
     "j11_silhouette",
     W(
         **POINTS,
-        few=f"SELECT * FROM std ORDER BY {q.MD5}, row_id LIMIT 20000",
-        near="SELECT a.row_id, a.score AS own, b.score AS other, sum(sqrt(" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in CLUSTER)
-        + ")) AS total, count(*) AS n FROM few AS a, few AS b GROUP BY a.row_id, a.score, b.score",
+        sums="SELECT score, count(*) AS n, sum(" + " + ".join(f"{c} * {c}" for c in CLUSTER) + ") AS q, "
+        + ", ".join(f"sum({c}) AS s_{c}" for c in CLUSTER) + " FROM std GROUP BY score",
+        near="SELECT a.row_id, a.score AS own, b.score AS other, b.n, b.n * (" + " + ".join(f"a.{c} * a.{c}" for c in CLUSTER) + ") - 2 * ("
+        + " + ".join(f"a.{c} * b.s_{c}" for c in CLUSTER) + ") + b.q AS total FROM std AS a, sums AS b",
         ab="SELECT row_id, max(CASE WHEN own = other THEN total / nullif(n - 1, 0) END) AS a, min(CASE WHEN own <> other THEN total / n END) AS b FROM near GROUP BY row_id",
     )
     + f"SELECT {q.r('avg(CASE WHEN a IS NULL THEN 0E0 ELSE (b - a) / greatest(a, b) END)')} AS silhouette FROM ab",
 )
 def j11(spark, sf):
     _, scaled, _ = points(spark, sf)
-    return rounded(cluster_scores.silhouette(scaled, "row_id", "score", CLUSTER))
+    return rounded(cluster_scores.silhouette(scaled, "score", CLUSTER))
 
 
 @register(

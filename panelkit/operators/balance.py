@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_CLASSES = 1_000
+from panelkit.spec import MAX_CLASSES
 
 
 def unweighted(df: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_CLASSES = 200
+from panelkit.spec import MAX_CLASSES
+
 
 
 def confusion_counts(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
@@ -23,7 +24,7 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
     counts = confusion_counts(df, label, prediction)
     seen = counts.select(F.explode(F.array("actual", "predicted")).alias("c")).distinct().take(MAX_CLASSES + 1)
     if len(seen) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
+        raise ValueError(f"{label} and {prediction} have more than {MAX_CLASSES} classes; a confusion matrix would not be small")
     labels = sorted(r["c"] for r in seen)
     kind = df.schema[label].dataType
     schema = T.StructType().add("actual", kind).add("predicted", kind)

@@ -13,8 +13,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Sequence
 
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.operators.quantiles import exact_quantiles, long_values, with_limits
@@ -105,7 +106,6 @@ class FittedPrep:
         for c in self.stats.categorical:
             value, known = self.imputed_category(c), self.stats.categories[c]
             if self.encoder == "onehot":
-                self._check_inline(c)
                 found |= {f"{c}_{v}": f"CAST({value} = {_text(v)} AS DOUBLE)" for v in known}
             elif self.encoder == "ordinal":
                 self._check_inline(c)
@@ -215,8 +215,29 @@ class FittedPrep:
             encoded += [F.get(code, F.lit(j)).alias(n) for j, n in zip(range(width), names)]
         return joined.select(*keep, *numbers, *encoded)
 
+    def _one_hot_stages(self, output: str) -> list:
+        """Numbers by projection, categories by a dictionary lookup and a sparse vector: the same for any number of them."""
+        numbers = [f"__f{i}" for i in range(len(self.stats.numeric))]
+        texts = [f"__c{i}" for i in range(len(self.stats.categorical))]
+        parts = [*self.numeric_expressions().values(), *map(self.imputed_category, self.stats.categorical)]
+        listed = ", ".join(f"{e} AS {n}" for e, n in zip(parts, numbers + texts))
+        stages: list = [SQLTransformer(statement=f"SELECT *, {listed} FROM __THIS__")]
+        for c, text in zip(self.stats.categorical, texts):
+            # a value that training did not have gets the number after the last, which the encoder leaves out
+            stages.append(StringIndexerModel.from_labels(self.stats.categories[c], text, f"{text}_at", handleInvalid="keep"))
+        if texts:
+            sizes = [len(self.stats.categories[c]) + 1 for c in self.stats.categorical]
+            encoder = OneHotEncoder(inputCols=[f"{t}_at" for t in texts], outputCols=[f"{t}_bits" for t in texts], dropLast=True)
+            spark = SparkSession.getActiveSession()
+            # fitting only learns the sizes: one row with the last number of each column says them all
+            stages.append(encoder.fit(spark.createDataFrame([tuple(float(n - 1) for n in sizes)], [f"{t}_at" for t in texts])))
+        stages.append(VectorAssembler(inputCols=[*numbers, *[f"{t}_bits" for t in texts]], outputCol=output))
+        return stages
+
     def stages(self, output: str = "features") -> list:
         """The same preparation as saveable pipeline stages, for rows outside the training set."""
+        if self.encoder == "onehot":
+            return self._one_hot_stages(output)
         names = [f"__f{i}" for i in range(len(self.output_columns()))]
         parts = [*self.numeric_expressions().values(), *self.encoded_expressions().values()]
         listed = ", ".join(f"{e} AS {n}" for e, n in zip(parts, names))
@@ -227,6 +248,10 @@ class FittedPrep:
 
     def vectors(self, df: DataFrame, keep: Sequence[str], output: str = "features", inner: Column | None = None) -> DataFrame:
         """``keep`` and one feature vector per row."""
+        if self.encoder == "onehot":
+            made = PipelineModel(self._one_hot_stages(output)).transform(df)
+            # zeros and ones are numbers to every model, so the vector's notes on its columns go
+            return made.select(*keep, F.col(output).alias(output, metadata={}))
         columns = self.output_columns()
         wide = self.transform(df, keep, inner)
         names = [*keep, *[f"__f{i}" for i in range(len(columns))]]
@@ -297,13 +322,12 @@ def _fit_categorical(data: DataFrame, categorical: list[str], label: str | None,
         return
     extra = [label, "inner_fold"] if label else []
     cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in categorical]
-    counted = (
-        data.select("__set", *extra, F.inline(F.array(*cells)))
-        .groupBy("__set", "column", "value", *extra).agg(F.count("*").alias("n"))
-        .take(MAX_CATEGORIES * len(found) + 1)
-    )
-    if len(counted) > MAX_CATEGORIES * len(found):
-        raise ValueError(f"more than {MAX_CATEGORIES} categories to encode")
+    listed = data.select("__set", *extra, F.inline(F.array(*cells)))
+    # the limit is on categories, not on the rows that count them by set, class and inner fold
+    distinct = listed.select("column", "value").distinct().limit(MAX_CATEGORIES + 1).count()
+    if distinct > MAX_CATEGORIES:
+        raise ValueError(f"the text columns have more than {MAX_CATEGORIES} categories to encode")
+    counted = listed.groupBy("__set", "column", "value", *extra).agg(F.count("*").alias("n")).collect()
     sizes: dict[tuple, int] = {}
     for r in counted:
         key = r["__set"], r["column"], r["value"]

@@ -23,7 +23,7 @@ DIRECT_ROWS = 500_000
 RANGE_ROWS = 5_000_000
 SAMPLE_ROWS = 100_000
 GRID = 1_000
-MAX_GROUPS = 200
+MAX_GROUPS = 1_000
 
 Key = tuple[tuple, str]
 

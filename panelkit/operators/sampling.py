@@ -14,10 +14,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelkit.functions import hash_bucket, sample_key
+from panelkit.spec import MAX_CLASSES
 
 DIGITS = 3
 FEW_KEYS = 50_000
-MAX_CLASSES = 1_000
 
 
 def with_rank(df: DataFrame, row_id: str, seed: int, by: Sequence[str] = (), output: str = "rank") -> DataFrame:

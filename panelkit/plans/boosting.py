@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+from pyspark.ml import Model
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +34,8 @@ class SoftmaxBoosting:
         total = sum(counts.values())
         start = [math.log((counts.get(k, 0) or 1e-9) / total) for k in range(classes)]
         scores = F.array(*[F.lit(s) for s in start])
-        data = train.select("features", "y", scores.alias("raw")).persist()
+        # without column metadata every feature is a number to the trees, so every split has a threshold
+        data = train.select(F.col("features").alias("features", metadata={}), "y", scores.alias("raw")).persist()
         stages = []
         for stage in range(self.n_estimators):
             stages.append(self._stage(data, classes, stage))
@@ -42,7 +51,7 @@ class SoftmaxBoosting:
             data.unpersist()
             data = following
         data.unpersist()
-        return SoftmaxBoostingModel(start, stages, classes)
+        return SoftmaxBoostingModel.of(start, stages, classes)
 
     def _stage(self, data: DataFrame, classes: int, stage: int) -> list[tuple]:
         chances = _softmax(classes)
@@ -98,14 +107,78 @@ def _advance(data: DataFrame, stage: list[tuple], classes: int) -> DataFrame:
     return data.withColumn("raw", F.array(*raised)).select(*kept)
 
 
-class SoftmaxBoostingModel:
-    def __init__(self, start: list[float], stages: list[list[tuple]], classes: int):
-        self.start, self.stages, self.classes = start, stages, classes
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Adds ``prediction``: the class with the highest raw score, the smaller number in a tie."""
-        data = df.withColumn("raw", F.array(*[F.lit(s) for s in self.start]))
-        for stage in self.stages:
-            data = _advance(data, stage, self.classes)
-        best = F.array_position("raw", F.array_max("raw")) - 1
-        return data.withColumn("prediction", best.cast("double")).drop("raw")
+def _flat(tree, steps: list[float]) -> dict[str, list]:
+    """A fitted tree as arrays in preorder: feature (-1 at a leaf), threshold, right child, and the leaf's step.
+
+    Leaves come in the order in which Spark numbers them.
+    """
+    nodes: dict[str, list] = {"feature": [], "threshold": [], "right": [], "step": []}
+    leaves = iter(range(1 << 31))
+
+    def add(node) -> None:
+        at = len(nodes["feature"])
+        for column in nodes.values():
+            column.append(0)
+        if "InternalNode" not in node.getClass().getName():
+            leaf = next(leaves)
+            nodes["feature"][at], nodes["threshold"][at] = -1, 0.0
+            nodes["step"][at] = float(steps[leaf]) if leaf < len(steps) else 0.0
+            return
+        split = node.split()
+        nodes["feature"][at], nodes["threshold"][at], nodes["step"][at] = int(split.featureIndex()), float(split.threshold()), 0.0
+        add(node.leftChild())
+        nodes["right"][at] = len(nodes["feature"])
+        add(node.rightChild())
+
+    add(tree._java_obj.rootNode())
+    return nodes
+
+
+class SoftmaxBoostingModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """Flat trees as one JSON parameter, so the model saves and loads inside a pipeline like any other stage."""
+
+    trees = Param(Params._dummy(), "trees", "start scores, classes and trees", TypeConverters.toString)
+
+    def __init__(self):
+        super().__init__()
+
+    @classmethod
+    def of(cls, start: list[float], stages: list[list[tuple]], classes: int) -> "SoftmaxBoostingModel":
+        described = {"start": start, "classes": classes, "stages": [[_flat(tree, steps) for tree, steps in stage] for stage in stages]}
+        model = cls()
+        model._set(trees=json.dumps(described))
+        return model
+
+    @property
+    def stages(self) -> list[list[dict[str, list]]]:
+        return json.loads(self.getOrDefault(self.trees))["stages"]
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        """Adds ``prediction``: the class with the highest raw score, the smaller number in a tie.
+
+        Every tree reads the features once: the work is linear in the number of stages.
+        """
+        text = self.getOrDefault(self.trees)
+
+        @F.pandas_udf("double")
+        def best(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            known = json.loads(text)
+            stages = [[{k: np.array(v) for k, v in tree.items()} for tree in stage] for stage in known["stages"]]
+            for batch in batches:
+                x = np.stack(batch.to_numpy()) if len(batch) else np.zeros((0, 1))
+                raw = np.tile(np.array(known["start"]), (len(x), 1))
+                rows = np.arange(len(x))
+                for stage in stages:
+                    for k, tree in enumerate(stage):
+                        at = np.zeros(len(x), np.int64)
+                        while True:
+                            feature = tree["feature"][at]
+                            inner = feature >= 0
+                            if not inner.any():
+                                break
+                            left = x[rows, np.maximum(feature, 0)] <= tree["threshold"][at]
+                            at = np.where(inner, np.where(left, at + 1, tree["right"][at]), at)
+                        raw[:, k] += tree["step"][at]
+                yield pd.Series(raw.argmax(axis=1).astype(float))
+
+        return dataset.withColumn("prediction", best(vector_to_array("features")))

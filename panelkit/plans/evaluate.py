@@ -20,7 +20,7 @@ from panelkit.operators.prep import WHOLE, FittedPrep, check_names, fit_stats
 from panelkit.operators.smote import smote
 from panelkit.plans.models import ModelSpec
 from panelkit.plans.search import format_params, param_grid
-from panelkit.spec import PanelSpec
+from panelkit.spec import MAX_CLASSES, PanelSpec
 
 METRICS = ("accuracy", "macro_f1", "macro_recall")
 
@@ -40,6 +40,14 @@ def build_pipeline(scaler: str, encoder: str, model: ModelSpec, use_smote: bool
     return Config(model, *check_names(scaler, encoder), use_smote, tags)
 
 
+def label_classes(df: DataFrame, label: str) -> list:
+    """All classes, sorted; too many to give each a model output are an error."""
+    seen = df.where(F.col(f"`{label}`").isNotNull()).select(F.col(f"`{label}`").alias("c")).distinct().take(MAX_CLASSES + 1)
+    if len(seen) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    return sorted(r["c"] for r in seen)
+
+
 def class_number(label: str, classes: Sequence) -> Any:
     return (F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1).cast("double").alias("y")
 
@@ -79,9 +87,11 @@ def cross_validate(
     rows: list[tuple] = []
     notes: dict[int, tuple[float, str | None]] = {i: (0.0, None) for i in range(len(configs))}
     try:
-        classes = sorted(r[0] for r in folded.select(spec.label).distinct().take(metrics.MAX_CLASSES))
+        classes = label_classes(folded, spec.label)
         scalers = {c.scaler for c in configs}
-        stats = fit_stats(folded, numeric, categorical, spec.label, k, scalers)
+        # class counts per category are only gathered for an encoder that uses them
+        by_class = spec.label if any(c.encoder == "target" for c in configs) else None
+        stats = fit_stats(folded, numeric, categorical, by_class, k, scalers)
         lock = Lock()
 
         def score(job):
@@ -103,11 +113,21 @@ def cross_validate(
     return metrics.fold_summary(scores, ["config"]), notes
 
 
+def _first_line(problem: Exception) -> str:
+    return str(problem).splitlines()[0] if str(problem) else type(problem).__name__
+
+
 def _score_fold(folded, spec, classes, prep: FittedPrep, fold, sharing, rows, notes, lock) -> None:
     test = F.col("fold") == fold
     inner = F.when(test, F.lit(WHOLE)).otherwise(F.col("inner_fold")) if prep.encoder == "target" else None
     base = folded.withColumn("y", class_number(spec.label, classes))
-    vectors = prep.vectors(base, [spec.row_id, "y", "fold"], inner=inner).persist()
+    try:
+        vectors = prep.vectors(base, [spec.row_id, "y", "fold"], inner=inner).persist()
+    except Exception as problem:  # noqa: BLE001  a preparation that fails ends the configurations that share it, no others
+        with lock:
+            for index, _ in sharing:
+                notes[index] = (notes[index][0], notes[index][1] or _first_line(problem))
+        return
     train, held_out = vectors.where(~test), vectors.where(test)
     try:
         for index, config in sharing:
@@ -118,7 +138,7 @@ def _score_fold(folded, spec, classes, prep: FittedPrep, fold, sharing, rows, no
                 model = fit_config(config, train, spec, classes)
                 counts = metrics.confusion_counts(model.transform(held_out), "y", "prediction").collect()
             except Exception as problem:  # noqa: BLE001  one failing configuration must not end the others
-                error = str(problem).splitlines()[0] if str(problem) else type(problem).__name__
+                error = _first_line(problem)
             with lock:
                 rows.extend((index, fold, r["actual"], r["predicted"], r["n"]) for r in counts)
                 seconds, earlier = notes[index]
@@ -149,7 +169,7 @@ class Holdout:
     predictions: DataFrame
     report: DataFrame
     summary: DataFrame
-    pipeline: PipelineModel | None
+    pipeline: PipelineModel
     model: Any
 
 
@@ -161,9 +181,10 @@ def fit_pipeline(train: DataFrame, spec: PanelSpec, config: Config):
         train = train.withColumn("inner_fold", F.col("fold")).drop("fold")
     else:
         train = train.withColumn("inner_fold", F.lit(0))
-    stats = fit_stats(train, numeric, categorical, spec.label, scalers=(config.scaler,))[WHOLE]
+    by_class = spec.label if config.encoder == "target" else None
+    stats = fit_stats(train, numeric, categorical, by_class, scalers=(config.scaler,))[WHOLE]
     prep = stats.prep(config.scaler, config.encoder)
-    classes = stats.classes or sorted(r[0] for r in train.select(spec.label).distinct().collect())
+    classes = label_classes(train, spec.label)
     inner = F.col("inner_fold") if config.encoder == "target" else None
     vectors = prep.vectors(train.withColumn("y", class_number(spec.label, classes)), [spec.row_id, "y"], inner=inner).persist()
     try:
@@ -188,11 +209,9 @@ def evaluate_holdout(df: DataFrame, spec: PanelSpec, config: Config, fraction: f
     named = F.get(F.array(*[F.lit(c) for c in classes]), F.col("prediction").cast("int"))
     predictions = model.transform(vectors).select(spec.row_id, spec.label, named.alias("predicted"))
     counts = metrics.confusion_counts(predictions, spec.label, "predicted")
-    # the boosting model has no Spark writer yet
-    pipeline = saveable_pipeline(prep, model, classes) if hasattr(model, "write") else None
     return Holdout(
         predictions, metrics.classification_report(predictions, spec.label, "predicted"),
-        metrics.summary_scores(counts), pipeline, model,
+        metrics.summary_scores(counts), saveable_pipeline(prep, model, classes), model,
     )
 
 

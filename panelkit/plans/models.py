@@ -56,7 +56,10 @@ def get_models(class_weight: str | dict | None = None) -> dict[str, ModelSpec]:
 
 
 def _depth(value: int | None) -> int:
-    return DEEPEST if value is None else min(int(value), DEEPEST)
+    """None is no limit, which the deepest tree stands for; a depth that Spark cannot grow is an error."""
+    if value is not None and int(value) > DEEPEST:
+        raise ValueError(f"max_depth={value}: Spark grows trees of at most {DEEPEST} levels")
+    return DEEPEST if value is None else int(value)
 
 
 def fit_classifier(spec: ModelSpec, train: DataFrame, classes: int):

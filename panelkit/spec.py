@@ -59,6 +59,10 @@ class PanelSpec:
         return [c for c in columns if c in have]
 
 
+#: Classes of a label beyond which a table of class pairs, or a number per class, stops being small.
+MAX_CLASSES = 1_000
+
+
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
     skip = set(exclude)
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in skip]

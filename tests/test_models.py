@@ -1,10 +1,14 @@
+import json
+import time
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
-from panelkit.operators import features, knn, prep, smote
+from panelkit.operators import features, knn, prep, sampling, smote
 from panelkit.plans import boosting, evaluate, models, search, sweep, tasks
 
 from panelkit.session import fresh_path
@@ -117,11 +121,77 @@ def test_boosting_learns_three_classes(spark, monkeypatch):
     df = spark.createDataFrame(rows, "y double, x array<double>").select("y", array_to_vector("x").alias("features"))
     monkeypatch.setattr(boosting, "CUT_EVERY", 3)  # stages cross a checkpoint
     model = boosting.SoftmaxBoosting(5, 0.8, 2).fit(df, 3)
-    assert len(model.stages) == 5
+    assert len(model.stages) == 5 and all(len(stage) == 3 for stage in model.stages)
     right = model.transform(df).where("prediction = y").count()
     assert right > 285
 
 
+def test_boosting_predicts_many_stages_and_loads_again(spark, tmp_path):
+    """Prediction is linear in the stages: the default number answers in seconds, and a saved pipeline predicts the same."""
+    g = np.random.default_rng(10)
+    x = g.uniform(size=(200, 3))
+    y = (x[:, 0] + x[:, 1] > 1).astype(int) + (x[:, 2] > 0.7).astype(int)
+    df = spark.createDataFrame([(float(v), list(map(float, r))) for v, r in zip(y, x)], "y double, x array<double>").select("y", array_to_vector("x").alias("features"))
+    short = boosting.SoftmaxBoosting(4, 0.3, 2).fit(df, 3)
+    known = json.loads(short.getOrDefault(short.trees))
+    known["stages"] = known["stages"] * 38
+    long = boosting.SoftmaxBoostingModel()
+    long._set(trees=json.dumps(known))
+    started = time.time()
+    assert long.transform(df).groupBy("prediction").count().count() >= 2
+    assert time.time() - started < 30
+    path = str(tmp_path / "pipeline")
+    PipelineModel([short]).write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    assert again.transform(df).select("prediction").collect() == short.transform(df).select("prediction").collect()
+
+
+def test_boosting_steps_equal_spark_leaves(spark):
+    """The flat trees put every row into the leaf that Spark's own trees name."""
+    g = np.random.default_rng(11)
+    x = g.uniform(size=(150, 2))
+    df = spark.createDataFrame([(float(r[0] > 0.4), list(map(float, r))) for r in x], "y double, x array<double>").select("y", array_to_vector("x").alias("features"))
+    tree = DecisionTreeRegressor(labelCol="y", leafCol="leaf", maxDepth=3).fit(df)
+    flat = boosting._flat(tree, [float(i) for i in range(8)])
+    for row in tree.transform(df).collect():
+        at = 0
+        while flat["feature"][at] >= 0:
+            at = at + 1 if row["features"][flat["feature"][at]] <= flat["threshold"][at] else flat["right"][at]
+        assert flat["step"][at] == row["leaf"]
+
+
+def test_many_classes_and_categories(spark):
+    """Nothing is left out past some number of classes or categories."""
+    rows = [(i, i % 250, f"v{i % 600:03d}", float(i)) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "row_id long, label int, city string, a double")
+    assert evaluate.label_classes(df, "label") == list(range(250))
+    fitted = prep.fit_stats(df, ["a"], ["city"])[prep.WHOLE].prep("standard", "onehot")
+    made = fitted.vectors(df, ["row_id"]).orderBy("row_id").collect()
+    assert len(made) == 3_000 and made[0]["features"].size == 601
+    assert all(r["features"][1 + r["row_id"] % 600] == 1.0 and len(r["features"].indices) <= 2 for r in made[::97])
+    assert PipelineModel(fitted.stages()).transform(spark.createDataFrame([(1, "new", None)], "row_id long, city string, a double")).first()["features"].numNonzeros() <= 1
+    wide = fitted.transform(df.limit(3), ["row_id"])
+    assert len(wide.columns) == 602
+
+
+def test_rows_without_an_id_are_an_error(spark):
+    df = spark.createDataFrame([(i if i % 10 else None, i % 2) for i in range(100)], "row_id long, label int")
+    for split in (
+        lambda: sampling.stratified_folds(df, "row_id", "label", 3),
+        lambda: sampling.stratified_split(df, "row_id", "label"),
+        lambda: sampling.random_split(df, "row_id"),
+        lambda: sampling.sample_rows(df, "row_id", 10),
+    ):
+        with pytest.raises(Exception, match="has no row_id"):
+            split().collect()
+
+
+def test_depth_beyond_the_deepest_is_an_error():
+    assert models._depth(None) == models._depth(30) == 30
+    with pytest.raises(ValueError, match="31"):
+        models._depth(31)
+
+
 def test_grids():
     assert list(search.param_grid({})) == [{}] and search.format_params({}) == "{}"
     assert [search.format_params(p) for p in search.param_grid({"model__a": [1, 2], "b": [None]})] == ["a=1, b=None", "a=2, b=None"]
