@@ -113,7 +113,7 @@ def _one_edit(a: Column, b: Column) -> Column:
 def near_lines(docs: DataFrame) -> DataFrame:
     """(k1, k2) of distinct lines with an earlier, different line within the bound."""
     found = _candidates(docs)
-    variants = _variants(found)
+    variants = saved(_variants(found))  # read twice, and far dearer to make than to read
     # the earliest line of a key is enough: it is within the bound of all others there
     first = variants.groupBy("key").agg(F.min("line_id").alias("earlier"), F.max("line_id").alias("latest")).where("earlier < latest")
     pairs = variants.join(first.drop("latest"), "key").where("line_id > earlier").select("line_id", "earlier").distinct()
