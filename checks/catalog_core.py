@@ -6,6 +6,7 @@ from checks.catalog import *  # noqa: F403
 from checks.catalog import S, board, dom, panel, predicted, raw_numbers, register, rounded, rounded_big, rule
 from checks import catalog as cat
 from checks import sql as q
+from panelkit.operators import quantiles
 from panelkit.plans.search import format_params, param_grid
 
 W = q.with_
@@ -125,25 +126,26 @@ def b16(spark, sf):
 
 
 # --- windows and labels -----------------------------------------------------
-FILL_COLUMNS = ["monthly_salary", "occupation", "num_delayed", "history_months"]
+FILL_COLUMNS = [*q.NUMBERS, *q.TEXTS]
+FEW_ROWS = 8  # of an entity, from which it is cut into stretches: most entities here are then 'hot'
 
 
 def _fill_sql(forward: bool) -> str:
     cells = [q.filled(c, forward) for c in FILL_COLUMNS]
-    cells[0] = q.r("(" + cells[0] + ")")
+    cells = [q.r(f"({x})") if c in ("monthly_salary", "utilization", "emi") else x for c, x in zip(FILL_COLUMNS, cells)]
     return W(**q.DOMAIN) + "SELECT row_id, " + ", ".join(f"{x} AS {c}" for x, c in zip(cells, FILL_COLUMNS)) + " FROM dom"
 
 
 @register("c1_forward_fill", _fill_sql(True))
 def c1(spark, sf):
     df = dom(spark, sf).select("row_id", "customer_id", "as_of", *FILL_COLUMNS)
-    return rounded(impute.forward_fill(df, S, FILL_COLUMNS).select("row_id", *FILL_COLUMNS), only=["monthly_salary"])
+    return rounded(impute.forward_fill(df, S, FILL_COLUMNS).select("row_id", *FILL_COLUMNS), only=["monthly_salary", "utilization", "emi"])
 
 
 @register("c2_forward_backward_fill", _fill_sql(False))
 def c2(spark, sf):
     df = dom(spark, sf).select("row_id", "customer_id", "as_of", *FILL_COLUMNS)
-    return rounded(impute.fill_both(df, S, FILL_COLUMNS).select("row_id", *FILL_COLUMNS), only=["monthly_salary"])
+    return rounded(impute.fill_both(df, S, FILL_COLUMNS).select("row_id", *FILL_COLUMNS), only=["monthly_salary", "utilization", "emi"])
 
 
 @register("c3_entity_fill", W(**q.FILLED) + f"SELECT * REPLACE ({ROUNDED}) FROM fill")
@@ -151,6 +153,18 @@ def c3(spark, sf):
     return rounded(impute.group_impute(dom(spark, sf), S), only=["monthly_salary", "utilization", "emi"])
 
 
+@register("c1_forward_fill_in_stretches", _fill_sql(True))
+def c1_stretches(spark, sf):
+    df = dom(spark, sf).select("row_id", "customer_id", "as_of", *FILL_COLUMNS)
+    filled = impute.forward_fill(df, S, FILL_COLUMNS, hot_rows=FEW_ROWS).select("row_id", *FILL_COLUMNS)
+    return rounded(filled, only=["monthly_salary", "utilization", "emi"])
+
+
+@register("c3_entity_fill_in_stretches", W(**q.FILLED) + f"SELECT * REPLACE ({ROUNDED}) FROM fill")
+def c3_stretches(spark, sf):
+    return rounded(impute.group_impute(dom(spark, sf), S, hot_rows=FEW_ROWS), only=["monthly_salary", "utilization", "emi"])
+
+
 RANKED = "SELECT CAST(row_number() OVER (ORDER BY macro_f1 DESC, scaler, encoder, params) AS INT) AS rank, * FROM board"
 
 
@@ -534,6 +548,18 @@ def g1(spark, sf):
     return rounded(df.select("row_id", *[F.expr(e).alias(c) for c, e in filled.items()]))
 
 
+@register(
+    "g1_quartiles_by_range",
+    W(**q.DOMAIN)
+    + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", " + ", ".join(f"{q.r(f'quantile_cont({c}, {p})')} AS {n}" for n, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))) + " FROM dom" for c in q.NUMBERS),
+)
+def g1_ranges(spark, sf):
+    """The search by value ranges that large tables need, on every numeric column."""
+    found = quantiles.exact_quantiles(dom(spark, sf), q.NUMBERS, [0.25, 0.5, 0.75], direct_rows=0, range_rows=500, sample_rows=2_000).values()
+    rows = [(c, *map(float, found[(), c])) for c in q.NUMBERS]
+    return rounded(spark.createDataFrame(rows, "column string, q1 double, median double, q3 double"))
+
+
 MODES = {
     **q.DOMAIN,
     **{
@@ -725,7 +751,7 @@ def j10(spark, sf):
     return rounded(metrics.regression_scores(regressed(spark, sf), "y", "p").select("mae"))
 
 
-CLUSTER = ["utilization", "emi", "balance"]
+CLUSTER = list(S.cluster_features)
 POINTS = {
     **q.DOMAIN,
     "pts": f"SELECT row_id, score, {', '.join(CLUSTER)} FROM dom WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in CLUSTER),

@@ -60,13 +60,19 @@ def a4(spark, sf):
     return spark.read.schema("panel struct<rows: long, customers: long>").json(path).select("panel.*")
 
 
-@register("a5_saved_pipeline")
+@register(
+    "a5_saved_pipeline",
+    q.with_(**q.FILLED, c="SELECT floor(0.2E0 * count(*) + 0.5E0) AS n FROM fill WHERE score IS NOT NULL GROUP BY score")
+    + "SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS different FROM c",
+)
 def a5(spark, sf):
+    """A saved and loaded pipeline gives the held-out rows the classes that the fitted one gave them."""
     df = prepared(spark, sf)
     held = evaluate.evaluate_holdout(df, S, evaluate.build_pipeline("robust", "onehot", SMALL["DecisionTree"]))
     path = sinks.save_model(held.pipeline, fresh_path(spark, "pipeline"))
     again = PipelineModel.load(path).transform(df).select("row_id", F.col("predicted").alias("loaded"))
-    return held.predictions.join(again, "row_id").select("row_id", "score", "predicted", "loaded")
+    both = held.predictions.join(again, "row_id")
+    return both.agg(F.count("*").alias("rows"), F.count_if(~F.col("predicted").eqNullSafe(F.col("loaded"))).alias("different"))
 
 
 @register("e11_profile_bundle")
@@ -152,9 +158,16 @@ def i9(spark, sf):
 
 
 # --- evaluation and experiments --------------------------------------------
-@register("j15_holdout")
+@register(
+    "j15_holdout",
+    q.with_(**q.FILLED) + "SELECT CAST(score AS VARCHAR) AS class, CAST(floor(0.2E0 * count(*) + 0.5E0) AS BIGINT) AS support, true AS scored FROM fill WHERE score IS NOT NULL GROUP BY score",
+)
 def j15(spark, sf):
-    return _holdout(spark, sf, "DecisionTree").report
+    report = _holdout(spark, sf, "DecisionTree").report
+    value = {m: F.max(F.when(F.col("metric") == m, F.col("value"))) for m in ("support", "precision", "recall", "f1_score")}
+    own = report.where(F.col("class").isin(*S.label_order)).groupBy("class")
+    scored = value["precision"].between(0, 1) & value["recall"].between(0, 1) & value["f1_score"].between(0, 1)
+    return own.agg(value["support"].cast("long").alias("support"), scored.alias("scored"))
 
 
 @register("j16_cross_validation")
@@ -209,15 +222,15 @@ def k10(spark, sf):
     return evaluate.tune_with_gridsearch(prepared(spark, sf), S, config, {"max_depth": [3, 5], "min_samples_leaf": [1, 20]}, 2, parallelism=2)[0]
 
 
-@register("k11_param_grids")
+@register(
+    "k11_param_grids",
+    "SELECT concat('max_depth=', d, ', min_samples_leaf=', l) AS params, true AS scored FROM (VALUES (10), (15), (25)) AS a(d), (VALUES (1), (5), (20)) AS b(l)",
+)
 def k11(spark, sf):
-    """The tree grid of the search by name, each combination tried on one hold-out."""
-    df = prepared(spark, sf).persist()
-    rows = []
-    for params in search.param_grid({k: v[:1] for k, v in search.get_param_grid_for("DecisionTree").items()}):
-        config = evaluate.build_pipeline("robust", "ordinal", SMALL["DecisionTree"].with_params(params))
-        rows.append((search.format_params(params), evaluate.evaluate_holdout(df, S, config).summary.first()["macro_f1"]))
-    return spark.createDataFrame(rows, "params string, macro_f1 double")
+    """The whole tree grid of the search by name, each combination cross-validated."""
+    grid = {"DecisionTree": search.get_param_grid_for("DecisionTree")}
+    options = {"scalers": ["robust"], "encoders": ["ordinal"], "models": ["DecisionTree"], "param_grids": grid, "cv": 2, "parallelism": 4}
+    return sweep.run_full_sweep(prepared(spark, sf), S, **options)[0].select("params", F.col("macro_f1").between(0, 1).alias("scored"))
 
 
 @register("k12_model_factory")
@@ -241,7 +254,14 @@ def k14(spark, sf):
     return spark.read.option("header", True).csv(written["leaderboard"]).drop("fit_seconds")
 
 
-@register("k15_staged_run")
+REPORTS = [
+    "aux_kmeans_centroids", "aux_kmeans_elbow", "aux_kmeans_sizes", "aux_kmeans_summary", "aux_regression", "categorical_distributions",
+    "confusion_matrix", "correlation_matrix", "cv_baseline", "dirty_values", "final_pipeline", "final_summary", "missing_report",
+    "numeric_describe_clean", "numeric_describe_raw", "outlier_summary", "per_class", "target_distribution",
+]
+
+
+@register("k15_staged_run", "SELECT * FROM (VALUES " + ", ".join(f"('{n}')" for n in REPORTS) + ") AS r(report)")
 def k15(spark, sf):
     options = run.RunOptions(
         stages=("eda", "auxiliary"), cv_folds=2, skip_grid=True, models=TREE, save_pipeline=True,

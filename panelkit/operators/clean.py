@@ -72,12 +72,27 @@ def trim_percentiles(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return df.withColumns(trimmed) if trimmed else df
 
 
+#: Month names by number.
+MONTHS = (
+    "January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December",
+)
+
+
+def number_months(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Adds the first order column as the number of the month name, where the table has only the name; other text has none."""
+    if not spec.order or spec.order[0] in df.columns or spec.month_name not in df.columns:
+        return df
+    at = F.array_position(F.array(*[F.lit(m.lower()) for m in MONTHS]), F.lower(F.trim(F.col(f"`{spec.month_name}`"))))
+    return df.withColumn(spec.order[0], F.when(at > 0, at).cast("int"))
+
+
 def clean_data(
     df: DataFrame, spec: PanelSpec, outlier_mode: str = "domain", keep_keys: bool = False
 ) -> DataFrame:
     """Placeholders, numbers, durations, identifiers, then outliers as ``outlier_mode`` says."""
     if outlier_mode not in OUTLIER_MODES:
         raise ValueError(f"unknown outlier_mode: {outlier_mode}")
+    df = number_months(df, spec)
     df = placeholders_to_null(df, spec)
     df = coerce_numeric_text(df, spec)
     df = parse_duration(df, spec)

@@ -49,6 +49,7 @@ class PanelSpec:
     regression_target: str | None = None
     cluster_features: tuple[str, ...] = ()
     trim: tuple[float, float] = (0.005, 0.995)
+    month_name: str | None = None  # a column of month names that the first order column numbers where it is absent
 
     def keys(self) -> tuple[str, ...]:
         """Columns that say which row it is; never filled, trimmed or modelled."""
@@ -118,9 +119,24 @@ CREDIT_PANEL = PanelSpec(
         "Num_of_Delayed_Payment", "Credit_Utilization_Ratio", "Monthly_Balance",
     ),
     label_order=("Poor", "Standard", "Good"),
+    month_name="Month",
     regression_target="Monthly_Balance",
     cluster_features=(
         "Annual_Income", "Monthly_Inhand_Salary", "Total_EMI_per_month", "Amount_invested_monthly",
         "Monthly_Balance", "Outstanding_Debt", "Credit_Utilization_Ratio",
     ),
 )
+
+# The public table's columns in their order, as they are read. Columns with dirt in them are text.
+CREDIT_COLUMNS = (
+    ("ID", "string"), ("Customer_ID", "string"), ("Month", "string"), ("Name", "string"), ("Age", "string"), ("SSN", "string"),
+    ("Occupation", "string"), ("Annual_Income", "string"), ("Monthly_Inhand_Salary", "double"), ("Num_Bank_Accounts", "int"),
+    ("Num_Credit_Card", "int"), ("Interest_Rate", "int"), ("Num_of_Loan", "string"), ("Type_of_Loan", "string"),
+    ("Delay_from_due_date", "int"), ("Num_of_Delayed_Payment", "string"), ("Changed_Credit_Limit", "string"),
+    ("Num_Credit_Inquiries", "double"), ("Credit_Mix", "string"), ("Outstanding_Debt", "string"),
+    ("Credit_Utilization_Ratio", "double"), ("Credit_History_Age", "string"), ("Payment_of_Min_Amount", "string"),
+    ("Total_EMI_per_month", "double"), ("Amount_invested_monthly", "string"), ("Payment_Behaviour", "string"),
+    ("Monthly_Balance", "string"), ("Credit_Score", "string"),
+)
+_KINDS = {"string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType()}
+CREDIT_SCHEMA = T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in CREDIT_COLUMNS])
