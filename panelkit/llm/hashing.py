@@ -12,6 +12,7 @@ _VALUES = np.random.default_rng(20).integers(1, 2**63, 256, np.uint64) * np.uint
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _powers: dict[int, np.ndarray] = {}
+_BLOCK = 1 << 19  # bytes that are hashed at once
 
 
 def _powers_of(base: np.uint64, n: int) -> np.ndarray:
@@ -32,17 +33,25 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word of all texts, text number of each word)."""
+    """(hash of each word of all texts, text number of each word). Scratch memory is that of a block, also for long texts."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    data = np.frombuffer(b" ".join([*texts, b""]).translate(WORD_BYTES), np.uint8) if texts else np.zeros(0, np.uint8)
-    inside = data != 32
-    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    starts, ends = edges[::2], edges[1::2]
-    # prefix sums of a polynomial; multiplying by the inverse power makes a word's hash independent of where it stands
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[data] * _powers_of(_BASE, len(data)), out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * _powers_of(_INVERSE, len(data) + 1)[starts])
-    return hashes, np.searchsorted(np.cumsum(sizes), starts, "right")
+    text = b" ".join([*texts, b""]).translate(WORD_BYTES)
+    hashes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    low = 0
+    while low < len(text):
+        high = text.find(b" ", low + _BLOCK)  # blocks end between words
+        high = len(text) if high < 0 else high
+        data = np.frombuffer(text, np.uint8, high - low, low)
+        inside = data != 32
+        edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        starts, ends = edges[::2], edges[1::2]
+        # prefix sums of a polynomial; multiplying by the inverse power makes a word's hash independent of where it stands
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_VALUES[data] * _powers_of(_BASE, len(data)), out=sums[1:])
+        hashes.append(mix((sums[ends] - sums[starts]) * _powers_of(_INVERSE, len(data) + 1)[starts]))
+        places.append(starts + low)
+        low = high
+    return np.concatenate(hashes), np.searchsorted(np.cumsum(sizes), np.concatenate(places), "right")
 
 
 def sequence_hashes(words: np.ndarray, owner: np.ndarray, length: int, whole: bool = False) -> tuple[np.ndarray, np.ndarray]:
