@@ -297,7 +297,7 @@ def e8(spark, sf):
     return rounded(profile.correlation_matrix(panel(spark, sf), S))
 
 
-RANK_COLUMNS = ["interest_rate", "num_delayed", "outstanding_debt"]
+RANK_COLUMNS = list(q.NUMBERS)
 
 
 def _pairs(columns):
@@ -374,7 +374,7 @@ def f1(spark, sf):
     return rounded(charts.target_bars(panel(spark, sf), S.label))
 
 
-HIST_COLUMNS = ["age", "interest_rate", "utilization", "outstanding_debt", "balance"]
+HIST_COLUMNS = list(S.profile_numeric)
 
 
 @register(
@@ -389,7 +389,7 @@ def f2(spark, sf):
     return rounded(charts.numeric_histograms(panel(spark, sf), S, HIST_COLUMNS))
 
 
-BOX_COLUMNS = ["age", "interest_rate", "num_delayed", "outstanding_debt", "balance"]
+BOX_COLUMNS = list(S.profile_numeric)
 
 
 def _box_sql(c, table, by="", where=""):
@@ -406,9 +406,9 @@ def _box_sql(c, table, by="", where=""):
     )
 
 
-def _boxes(table, by="", extra=""):
+def _boxes(table, by="", extra="", columns=BOX_COLUMNS):
     parts = []
-    for c in BOX_COLUMNS:
+    for c in columns:
         body, qs = _box_sql(c, table, by)
         parts.append(f"SELECT *{extra} FROM (WITH qs AS ({qs}) {body}) AS t")
     return " UNION ALL ".join(parts)
@@ -441,9 +441,9 @@ def f5(spark, sf):
 PLACE = "CAST(CASE score WHEN 'Poor' THEN 0 WHEN 'Standard' THEN 1 ELSE 2 END AS BIGINT)"
 
 
-@register("f6_box_by_target", W(**q.DOMAIN) + _boxes("dom", "score", f", {PLACE} AS position"))
+@register("f6_box_by_target", W(**q.DOMAIN) + _boxes("dom", "score", f", {PLACE} AS position", S.key_features))
 def f6(spark, sf):
-    return rounded(charts.box_by_target(panel(spark, sf), S, BOX_COLUMNS))
+    return rounded(charts.box_by_target(panel(spark, sf), S, list(S.key_features)))
 
 
 def _position_sql(column, order):
@@ -524,8 +524,8 @@ def f14(spark, sf):
 
 
 # --- preparation ------------------------------------------------------------
-PREP_NUMBERS = ["age", "monthly_salary", "num_delayed", "utilization"]
-PREP_TEXTS = ["occupation", "credit_mix", "payment_behaviour"]
+PREP_NUMBERS = list(q.NUMBERS)
+PREP_TEXTS = ["occupation", "credit_mix", "payment_behaviour", "month"]
 MEDIAN = {
     **q.DOMAIN,
     "med": "SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in PREP_NUMBERS) + " FROM dom",
@@ -597,6 +597,7 @@ CATEGORY_VALUES = {
     "occupation": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
     "credit_mix": ["Bad", "Good", "Standard"],
     "payment_behaviour": ["spent_F", "spent_O", "spent_P"],
+    "month": sorted(str(m) for m in range(1, 13)),
 }
 
 
