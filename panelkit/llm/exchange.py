@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from panelkit.llm.common import blocks, id_and_text
 
 CHUNK_BYTES = 4 << 20
-BUCKET_BYTES = 16 << 20  # text whose keys meet in one bucket
+BUCKET_BYTES = 8 << 20  # text whose keys meet in one bucket
 NO_ID = (1 << 63) - 1  # stands for a null id: larger than every other
 SCHEMA = "chunk long, bucket int, kind int, a binary, b binary, c binary"
 _NAMES = ["chunk", "bucket", "kind", "a", "b", "c"]
@@ -29,6 +29,24 @@ _TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binar
 TEXT = -1  # the kind of the row that holds a chunk's text
 
 
+def squeeze(data: bytes) -> bytes:
+    """What is shuffled is limited more tightly than processor time, so this is not the fastest level."""
+    return zstandard.ZstdCompressor(level=6).compress(data)
+
+
+def expand(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data, max_output_size=1 << 31)
+
+
+def squeeze_numbers(values: np.ndarray) -> bytes:
+    """64-bit numbers with their bytes put apart: those that are alike everywhere take next to nothing."""
+    return squeeze(np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def expand_numbers(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(expand(data), np.uint8).reshape(8, -1).T).view("<i8").reshape(-1)
+
+
 @dataclass
 class Chunk:
     """Documents `ids` with texts data[offsets[i] : offsets[i + 1]]."""
@@ -50,12 +68,11 @@ class Chunk:
         return cls(np.array([NO_ID if i is None else i for i in ids], np.int64), offsets, b"".join(texts))
 
     def packed(self) -> tuple:
-        squeeze = zstandard.ZstdCompressor(level=1).compress
         return self.name, -1, TEXT, self.ids.tobytes(), self.offsets.tobytes(), squeeze(self.data)
 
     @classmethod
     def unpacked(cls, row: dict) -> Chunk:
-        data = zstandard.ZstdDecompressor().decompress(row["c"], max_output_size=1 << 31)
+        data = expand(row["c"])
         return cls(np.frombuffer(row["a"], np.int64), np.frombuffer(row["b"], np.int64), data)
 
     def doc_of(self, places: np.ndarray) -> np.ndarray:

@@ -21,11 +21,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 
 from panelkit.llm import exchange
-from panelkit.llm.exchange import NO_ID, Chunk
+from panelkit.llm.exchange import NO_ID, Chunk, expand, expand_numbers, squeeze, squeeze_numbers
 from panelkit.llm.hashing import _BASE, _INVERSE, _VALUES, _powers_of, mix
 
 LENGTH = 50  # bytes of a string that must not repeat
@@ -195,14 +194,13 @@ class Repeats:
 def _ask_repeats(chunk: Chunk, kinds: dict[int, list[dict]], buckets: int) -> pa.Table:
     asked = Repeats.of(chunk, kinds.get(_KEYS, []))
     data = np.frombuffer(chunk.data, np.uint8)
-    squeeze = zstandard.ZstdCompressor(level=1).compress
     rows = []
     for bucket, part in exchange.by_bucket(asked.entry_key, buckets):
         own = asked.contexts.chosen(asked.entries[part])
         text = data[_ranges(own.start, own.count + LENGTH - 1)].tobytes()
-        rows.append((chunk.name, bucket, _CONTEXTS, asked.entry_id[part].tobytes(), own.count.astype(np.uint8).tobytes(), squeeze(text)))
+        rows.append((chunk.name, bucket, _CONTEXTS, squeeze_numbers(asked.entry_id[part]), own.count.astype(np.uint8).tobytes(), squeeze(text)))
     for bucket, part in exchange.by_bucket(asked.hashes, buckets):
-        rows.append((chunk.name, bucket, _STRINGS, asked.string_id[part].tobytes(), asked.hashes[part].tobytes(), None))
+        rows.append((chunk.name, bucket, _STRINGS, squeeze_numbers(asked.string_id[part]), asked.hashes[part].tobytes(), None))
     return exchange.table(rows)
 
 
@@ -221,9 +219,8 @@ def suffix_array(text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
 
 def _judge_contexts(rows: list[dict]) -> list[tuple]:
     """For each context a bit mask of its strings: set where the string stands in a document with a smaller id."""
-    expand = zstandard.ZstdDecompressor().decompress
     sizes = [len(row["b"]) for row in rows]
-    ids = np.frombuffer(b"".join(row["a"] for row in rows), np.int64)
+    ids = np.concatenate([expand_numbers(row["a"]) for row in rows])
     counts = np.frombuffer(b"".join(row["b"] for row in rows), np.uint8).astype(np.int64)
     text = np.frombuffer(b"".join(expand(row["c"]) for row in rows), np.uint8)
     lengths = counts + LENGTH - 1
@@ -275,7 +272,7 @@ def _judge_strings(rows: list[dict]) -> list[tuple]:
     """For each string of hot triggers: 1 where it stands in a document with a smaller id."""
     sizes = [len(row["b"]) // 8 for row in rows]
     hashes = np.frombuffer(b"".join(row["b"] for row in rows), np.uint64)
-    ids = np.frombuffer(b"".join(row["a"] for row in rows), np.int64)
+    ids = np.concatenate([expand_numbers(row["a"]) for row in rows])
     _, group = np.unique(hashes, return_inverse=True)
     later = (_least(group, int(group.max()) + 1, ids)[group] < ids).astype(np.uint8)
     parts = np.split(later, np.cumsum(sizes)[:-1])
