@@ -215,7 +215,7 @@ class FittedPrep:
             encoded += [F.get(code, F.lit(j)).alias(n) for j, n in zip(range(width), names)]
         return joined.select(*keep, *numbers, *encoded)
 
-    def _one_hot_stages(self, output: str) -> list:
+    def _one_hot_stages(self, output: str, spark: SparkSession) -> list:
         """Numbers by projection, categories by a dictionary lookup and a sparse vector: the same for any number of them."""
         numbers = [f"__f{i}" for i in range(len(self.stats.numeric))]
         texts = [f"__c{i}" for i in range(len(self.stats.categorical))]
@@ -228,7 +228,6 @@ class FittedPrep:
         if texts:
             sizes = [len(self.stats.categories[c]) + 1 for c in self.stats.categorical]
             encoder = OneHotEncoder(inputCols=[f"{t}_at" for t in texts], outputCols=[f"{t}_bits" for t in texts], dropLast=True)
-            spark = SparkSession.getActiveSession()
             # fitting only learns the sizes: one row with the last number of each column says them all
             stages.append(encoder.fit(spark.createDataFrame([tuple(float(n - 1) for n in sizes)], [f"{t}_at" for t in texts])))
         stages.append(VectorAssembler(inputCols=[*numbers, *[f"{t}_bits" for t in texts]], outputCol=output))
@@ -237,7 +236,7 @@ class FittedPrep:
     def stages(self, output: str = "features") -> list:
         """The same preparation as saveable pipeline stages, for rows outside the training set."""
         if self.encoder == "onehot":
-            return self._one_hot_stages(output)
+            return self._one_hot_stages(output, SparkSession.builder.getOrCreate())
         names = [f"__f{i}" for i in range(len(self.output_columns()))]
         parts = [*self.numeric_expressions().values(), *self.encoded_expressions().values()]
         listed = ", ".join(f"{e} AS {n}" for e, n in zip(parts, names))
@@ -249,7 +248,7 @@ class FittedPrep:
     def vectors(self, df: DataFrame, keep: Sequence[str], output: str = "features", inner: Column | None = None) -> DataFrame:
         """``keep`` and one feature vector per row."""
         if self.encoder == "onehot":
-            made = PipelineModel(self._one_hot_stages(output)).transform(df)
+            made = PipelineModel(self._one_hot_stages(output, df.sparkSession)).transform(df)
             # zeros and ones are numbers to every model, so the vector's notes on its columns go
             return made.select(*keep, F.col(output).alias(output, metadata={}))
         columns = self.output_columns()

@@ -6,7 +6,7 @@ import time
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 from threading import Lock
-from typing import Any, Sequence
+from typing import Any, Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
@@ -23,6 +23,8 @@ from panelkit.plans.search import format_params, param_grid
 from panelkit.spec import MAX_CLASSES, PanelSpec
 
 METRICS = ("accuracy", "macro_f1", "macro_recall")
+#: (confusion counts, columns to score by) -> those columns and ``value``
+Scoring = Callable[[DataFrame, list[str]], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -71,13 +73,16 @@ def cross_validate(
     seed: int = 42,
     group_col: str | None = None,
     parallelism: int = 1,
+    scoring: dict[str, Scoring] | None = None,
 ) -> tuple[DataFrame, dict[int, tuple[float, str | None]]]:
     """Scores of every configuration: (config, accuracy, macro F1, macro recall, each with its deviation).
 
     The preparation depends on scaler and encoder only, so it is fitted once
     for all folds and its vectors are kept while every model that shares them
     is tried. A configuration that fails gets no scores; the second result
-    holds its seconds and error text.
+    holds its seconds and error text. ``scoring`` adds a column of mean values
+    over the folds for each function, which gets confusion counts (config,
+    fold, actual, predicted, n) and the columns to score by.
     """
     spark = df.sparkSession
     numeric, categorical = split_features(df, spec)
@@ -110,7 +115,11 @@ def cross_validate(
     # a confusion table per configuration and fold: classes squared rows each
     counts = spark.createDataFrame([r for r in rows if r[0] not in failed], schema)
     scores = metrics.summary_scores(counts, ["config", "fold"])
-    return metrics.fold_summary(scores, ["config"]), notes
+    summary = metrics.fold_summary(scores, ["config"])
+    for name, function in (scoring or {}).items():
+        own = function(counts, ["config", "fold"]).groupBy("config").agg(F.avg("value").alias(name))
+        summary = summary.join(own, "config", "left")
+    return summary, notes
 
 
 def _first_line(problem: Exception) -> str:
@@ -158,7 +167,7 @@ def score_board(df: DataFrame, spec: PanelSpec, configs: Sequence[Config], k: in
     described = [(i, *(str(c.tags[t]) for t in tags), float(notes[i][0]), notes[i][1]) for i, c in enumerate(configs)]
     known = df.sparkSession.createDataFrame(described, schema)
     return known.join(scores, "config", "left").select(
-        "config", *tags, "macro_f1", "macro_f1_std", "macro_recall", "accuracy", "fit_seconds", "error"
+        "config", *tags, "macro_f1", "macro_f1_std", "macro_recall", "accuracy", *(options.get("scoring") or {}), "fit_seconds", "error"
     )
 
 
