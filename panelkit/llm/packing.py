@@ -26,7 +26,7 @@ END_ID = 2
 STEP = 16  # tokens; a piece takes its length rounded up to this in a pattern, so padding is about half of it a piece
 CLASSES = CAPACITY // STEP
 BUCKET_ROWS = 100_000  # pieces of one class that are ranked together
-CACHED_WORDS = 500_000  # words whose ids a worker remembers, and as many older ones
+CACHED_WORDS = 1_000_000  # words whose ids a worker remembers (about 200 bytes each), and at most as many older ones
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 #: A comma or full stop that ends a word without following an ASCII letter or digit, or a Latin-1 letter.
 _SIGN_ALONE = re.compile(rb"(?<![a-z0-9])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])[.,](?= )")
