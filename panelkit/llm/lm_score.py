@@ -23,7 +23,7 @@ TARGET_DOCS = 1_000_000  # labelled documents the target model is fitted on: tho
 LEAST = 2  # times the corpus holds a word of the vocabulary
 EXTRA = 0.5  # added to each word's count
 BACKING = 4.0  # weight of the word's share behind a pair's count
-CHUNK_BYTES = 16 << 20  # a pair is sent once per chunk, so large chunks send less
+CHUNK_BYTES = 8 << 20  # a pair is sent once per chunk, so larger chunks send less and hold more
 _WORDS, _PAIRS, _SUMS = 0, 1, 2
 _SCHEMA = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
 
