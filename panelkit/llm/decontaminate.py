@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,12 @@ CONTAINED = 0.8
 BLOCK_SHINGLES = 1_000_000
 
 
+def text_key(text: bytes) -> int:
+    """What Spark's xxhash64 makes of a text."""
+    value = xxhash.xxh64_intdigest(text, 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
 def shingles(texts: list[bytes]) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; a text of fewer than five words is one shingle, one without words none."""
     found, owner = sequence_hashes(*word_hashes(texts), SHINGLE, whole=True)
