@@ -134,6 +134,22 @@ def texts(docs: DataFrame, limit: int | None = None) -> DataFrame:
     return id_and_text(docs).mapInArrow(run, SCHEMA)
 
 
+def marks(docs: DataFrame, named: DataFrame, kind: int, limit: int | None = None) -> DataFrame:
+    """A row of `kind` for every document whose id is among `named` (distinct doc_id): its place in its chunk as the bucket.
+
+    Ids meet in a join, so no list of them reaches the driver or a task; chunks keep the rows in the order they were read.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in chunks(batches, limit):
+            n = len(chunk.ids)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk.name)), pa.array(np.arange(n, dtype=np.int32)), pa.array(chunk.ids, mask=chunk.ids == NO_ID)], ["chunk", "bucket", "doc_id"])
+
+    rows = id_and_text(docs).mapInArrow(run, "chunk long, bucket int, doc_id long").where("doc_id IS NOT NULL")
+    empty = [F.lit(None).cast("binary").alias(name) for name in "abc"]
+    return rows.join(named, "doc_id", "left_semi").select("chunk", "bucket", F.lit(kind).alias("kind"), *empty)
+
+
 def ask(docs: DataFrame, question: Callable[[Chunk], list[tuple]], limit: int | None = None) -> DataFrame:
     """The rows that `question` makes of every chunk."""
 

@@ -19,12 +19,11 @@ from panelkit.llm.common import saved
 from panelkit.llm.exchange import NO_ID, Chunk
 from panelkit.llm.hashing import _BASE, mix, word_hashes
 
-TARGET_DOCS = 1_000_000  # labelled documents the target model is fitted on: those with the smallest id hashes
 LEAST = 2  # times the corpus holds a word of the vocabulary
 EXTRA = 0.5  # added to each word's count
 BACKING = 4.0  # weight of the word's share behind a pair's count
 CHUNK_BYTES = 8 << 20  # a pair is sent once per chunk, so larger chunks send less and hold more
-_WORDS, _PAIRS, _SUMS = 0, 1, 2
+_WORDS, _PAIRS, _SUMS, _TARGET = 0, 1, 2, 3
 _SCHEMA = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
 
 
@@ -48,9 +47,16 @@ def _unpack(rows: list[dict], column: str) -> np.ndarray:
     return np.frombuffer(b"".join(expand(row[column]) for row in rows), "<u4").astype(np.int64)
 
 
+def _marked(chunk: Chunk, kinds: dict[int, list[dict]]) -> np.ndarray:
+    """Whether each document of the chunk is a target."""
+    marked = np.zeros(len(chunk.ids), bool)
+    marked[[row["bucket"] for row in kinds.get(_TARGET, [])]] = True
+    return marked
+
+
 def _ask(chunk: Chunk, target: np.ndarray, buckets: int) -> list[tuple]:
     document, words, pairs, after = _tokens(chunk)
-    marked = np.isin(chunk.ids, target)[document]
+    marked = target[document]
     rows = []
     for kind, keys, own in ((_WORDS, words, marked), (_PAIRS, pairs[after], marked[after])):
         distinct, group, total = np.unique(keys, return_inverse=True, return_counts=True)
@@ -87,10 +93,10 @@ def _own(keys: np.ndarray, document: np.ndarray) -> np.ndarray:
     return count[group]
 
 
-def _losses(chunk: Chunk, kinds: dict[int, list[dict]], target: np.ndarray, sums: np.ndarray) -> pa.Table:
+def _losses(chunk: Chunk, kinds: dict[int, list[dict]], sums: np.ndarray) -> pa.Table:
     document, words, pairs, after = _tokens(chunk)
     n = len(chunk.ids)
-    marked = np.isin(chunk.ids, target)
+    marked = _marked(chunk, kinds)
     tokens = np.bincount(document, minlength=n)
     losses = np.zeros((2, n))
     if len(words):
@@ -132,9 +138,10 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFram
     several times.
     """
     named = target_ids.select(target_ids["doc_id"].cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
-    chosen = named.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TARGET_DOCS)
-    target = np.sort(chosen.toPandas()["doc_id"].to_numpy().astype(np.int64))  # 8 MB at most
+    target = saved(exchange.marks(docs, named, _TARGET, CHUNK_BYTES))
     buckets = exchange.bucket_count(docs)
-    answers = saved(exchange.answer(exchange.ask(docs, lambda chunk: _ask(chunk, target, buckets), CHUNK_BYTES), _reply))
+    questions = exchange.meet(docs, target, lambda chunk, kinds: exchange.table(_ask(chunk, _marked(chunk, kinds), buckets)), exchange.SCHEMA, CHUNK_BYTES)
+    answers = saved(exchange.answer(questions, _reply))
     sums = sum((np.frombuffer(r["a"], np.int64) for r in answers.where(F.col("kind") == _SUMS).select("a").toLocalIterator()), np.zeros(5, np.int64))
-    return exchange.meet(docs, answers.where(F.col("kind") != _SUMS), lambda chunk, kinds: _losses(chunk, kinds, target, sums), _SCHEMA, CHUNK_BYTES)
+    known = answers.where(F.col("kind") != _SUMS).unionByName(target)
+    return exchange.meet(docs, known, lambda chunk, kinds: _losses(chunk, kinds, sums), _SCHEMA, CHUNK_BYTES)
