@@ -62,6 +62,11 @@ def contained_items(docs: DataFrame, items: DataFrame, contained: float = CONTAI
     side hold nothing; rows that repeat give repeated pairs; an empty table on either side gives no row; other columns are
     ignored. A document's memory is linear in its length.
     """
+    return _pairs(docs, items, contained).drop("text_key")
+
+
+def _pairs(docs: DataFrame, items: DataFrame, contained: float) -> DataFrame:
+    """contained_items() with the text_key of the document."""
     own = id_and_text(items, "item_id").withColumnRenamed("doc_id", "item_id")
     total = own.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = int(total // (2 * BLOCK_SHINGLES)) + 1  # a word and its space take two characters at least
@@ -79,8 +84,8 @@ def _in_block(docs: DataFrame, item_ids: list, texts: list[bytes], contained: fl
     value, number = sketches(items, contained)
     seen = np.zeros(1 << 16, bool)
     seen[value & np.uint64(0xFFFF)] = True
-    names = ["doc_id", "item_id", "shared", "n_shingles", "containment"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
+    names = ["doc_id", "text_key", "item_id", "shared", "n_shingles", "containment"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, raw in blocks(batches):
@@ -102,15 +107,16 @@ def _in_block(docs: DataFrame, item_ids: list, texts: list[bytes], contained: fl
                     shared = int((held[spot] == item).sum())
                     # compare whole numbers: shared / size can round either way at the threshold
                     if shared >= contained * len(item) - 1e-9:
-                        rows.append((ids[text], item_ids[one], shared, len(item), shared / len(item)))
+                        rows.append((ids[text], text_key(raw[text]), item_ids[one], shared, len(item), shared / len(item)))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, item_id long, shared long, n_shingles long, containment double")
+    return id_and_text(docs).mapInArrow(run, "doc_id long, text_key long, item_id long, shared long, n_shingles long, containment double")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, contained: float = CONTAINED) -> DataFrame:
-    """The rows of `docs` that hold no item, with all their columns; rows without an id are looked at like others."""
-    # a row number of its own would need the rows in a fixed order; equal ids go together instead, null as one of them
-    leaks = contained_items(docs, items, contained).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(leaks, docs["doc_id"].cast("long").eqNullSafe(leaks["__leak"]), "left_anti")
+    """The rows of `docs` that hold no item, with all their columns. Rows that share an id, and rows without one, are told
+    apart by their texts."""
+    leaks = _pairs(docs, items, contained).select(F.col("doc_id").alias("__leak"), F.col("text_key").alias("__key")).distinct()
+    text = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    return docs.join(leaks, docs["doc_id"].cast("long").eqNullSafe(leaks["__leak"]) & (text == leaks["__key"]), "left_anti")
