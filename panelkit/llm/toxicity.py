@@ -35,6 +35,8 @@ LOOKALIKES = {
     b"@": b"a", b"$": b"s", b"!": b"i", b"|": b"il", b"+": b"t", b"(": b"c", b"<": b"c",
 }
 _SWAP_COST, _DROP_COST, _RUN_COST = 0.7, 0.5, 0.5  # negative log probabilities in the channel
+_BREAK_COST = 0.5  # of a word's end inside a run
+WINDOW = 80  # bytes decoded at once; what is longer is decoded in windows that overlap by half
 _ORDER = 4  # characters of the model's n-grams: a table of 32^4 counts whatever the corpus
 #: Character classes: 0 for the edge of a word, 1-26 for letters, 27 for bytes of other letters.
 _CLASS = np.array([b - 96 if 97 <= b <= 122 else b - 64 if 65 <= b <= 90 else 27 if b >= 0x80 else 0 for b in range(256)], np.int64)
@@ -42,8 +44,11 @@ _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _PLAIN = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 _EDGES = b".,;:?\"'[]{}%*#&=_~-\\/)>!|$("
 _STRETCHED = re.compile(rb"([a-z])\1\1")
-_SPELT = re.compile(rb"[a-z0-9@$!|+](?:[.\-_*~/,][a-z0-9@$!|+]){2,}")
-_MIXED = re.compile(rb"[a-z0-9@$!|+(<]*[a-z][a-z0-9@$!|+(<]*")
+_SPELT = re.compile(rb"(?:[a-z0-9@$!|+]|[\xc0-\xff][\x80-\xbf]+)(?:[.\-_*~/,](?:[a-z0-9@$!|+]|[\xc0-\xff][\x80-\xbf]+)){2,}")
+_GAPS = re.compile(rb"[.\-_*~/,]")
+_MIXED = re.compile(rb"[0-9@$!|+(<]*[a-z\x80-\xff][a-z0-9@$!|+(<\x80-\xff]*")
+_ONE_SIGN = re.compile(rb"[\xc0-\xff][\x80-\xbf]{1,3}")
+_LONG_RUN = re.compile(rb"([a-z])\1{4,}")
 _SIGNS = re.compile(rb"[0-9@$!|+(<]")
 _SINGLES = re.compile(rb"\x01{3,}")
 
@@ -78,8 +83,9 @@ def character_model(counts: DataFrame) -> np.ndarray:
     return -np.log(chance).astype(np.float32)
 
 
-def restore(token: bytes, costs: np.ndarray) -> bytes:
-    """The most likely word behind a disguised token (lower case): Viterbi over its character lattice."""
+def restore(token: bytes, costs: np.ndarray, breaks: bool = False) -> bytes:
+    """The most likely word behind a disguised token (lower case): Viterbi over its character lattice. With `breaks` a word
+    may end at every place, and the words are returned with spaces between them."""
     states: list[dict[tuple[int, int, int], tuple[float, bytes]]] = [{} for _ in range(len(token) + 1)]
     states[0][(0, 0, 0)] = (0.0, b"")
     for at in range(len(token)):
@@ -107,14 +113,53 @@ def restore(token: bytes, costs: np.ndarray) -> bytes:
                     code = int(_CLASS[letter])
                     total += float(costs[x, y, z, code])
                     x, y, z = y, z, code
-                old = states[target].get((x, y, z))
-                if old is None or (total, word + letters) < old:
-                    states[target][(x, y, z)] = (total, word + letters)
+                readings = [((x, y, z), total, word + letters)]
+                if breaks and z and target < len(token):
+                    readings.append(((y, z, 0), total + float(costs[x, y, z, 0]) + _BREAK_COST, word + letters + b" "))
+                for state, paid, read in readings:
+                    old = states[target].get(state)
+                    if old is None or (paid, read) < old:
+                        states[target][state] = (paid, read)
         if len(states[at + 1]) > 64:  # look-alikes have one or two readings, so only long runs of signs come here
             states[at + 1] = dict(sorted(states[at + 1].items(), key=lambda item: item[1])[:64])
     return min((cost + float(costs[x, y, z, 0]), word) for (x, y, z), (cost, word) in states[-1].items())[1]
 
 
+def _windows(run: bytes) -> Iterator[bytes]:
+    """The run, or windows of it such that every part of half a window stands whole in one; characters are not cut."""
+    at = 0
+    while True:
+        yield run[at : at + WINDOW]
+        if at + WINDOW >= len(run):
+            return
+        at += WINDOW // 2
+        while at < len(run) and 0x80 <= run[at] < 0xC0:
+            at += 1
+
+
+def _run_words(run: bytes, costs: np.ndarray) -> Iterator[bytes]:
+    """Words of a run of signs without gaps, each window with and without ends of words inside."""
+    for part in _windows(run):
+        if len(run) <= WINDOW:
+            yield restore(part, costs)
+        yield from restore(part, costs, breaks=True).split()
+
+
+def _token_words(core: bytes, costs: np.ndarray) -> Iterator[bytes]:
+    """Words of a disguised token. Beyond a window, letters are put down to four in a row first: more say no more."""
+    if _SPELT.fullmatch(core):
+        if len(core) <= WINDOW:
+            yield restore(core, costs)
+        yield from _run_words(_GAPS.sub(b"", core), costs)
+        return
+    if len(core) > WINDOW:
+        core = _LONG_RUN.sub(rb"\1\1\1\1", core)
+    if len(core) <= WINDOW:
+        yield restore(core, costs)
+    else:
+        yield from _run_words(core, costs)
+
+
 def restored_words(text: bytes, costs: np.ndarray) -> list[bytes]:
     """Words (letters only, lower case) that disguised tokens of a text stand for."""
     lower = text.translate(_LOWER)
@@ -124,20 +169,19 @@ def restored_words(text: bytes, costs: np.ndarray) -> list[bytes]:
         if token.isalpha() and not _STRETCHED.search(token):
             continue
         core = token.strip(_EDGES)
-        if not core or len(core) > 80 or core.isalpha() and not _STRETCHED.search(core):
+        if not core or core.isalpha() and not _STRETCHED.search(core):
             # a word with signs around it; a sign at its end may still stand for a letter
             core = token.strip(b".,;:?\"'")
-            if len(core) > 80 or not _MIXED.fullmatch(core) or not _SIGNS.search(core):
+            if not _MIXED.fullmatch(core) or not _SIGNS.search(core):
                 continue
         if _SPELT.fullmatch(core) or _STRETCHED.search(core) or _MIXED.fullmatch(core) and _SIGNS.search(core):
-            found.append(restore(core, costs))
+            found += _token_words(core, costs)
             tight = token.strip(b".,;:?\"'")
-            if tight != core and len(tight) <= 80 and _MIXED.fullmatch(tight):
-                found.append(restore(tight, costs))
+            if tight != core and _MIXED.fullmatch(tight):
+                found += _token_words(tight, costs)
     # letters spelt out with spaces: three or more tokens of one sign in a row
-    for match in _SINGLES.finditer(bytes(min(len(t), 2) for t in tokens)):
-        if match.end() - match.start() <= 80:
-            found.append(restore(b"".join(tokens[match.start() : match.end()]), costs))
+    for match in _SINGLES.finditer(bytes(1 if len(t) == 1 or t[0] >= 0xC0 and _ONE_SIGN.fullmatch(t) else 2 for t in tokens)):
+        found += _run_words(b"".join(tokens[match.start() : match.end()]), costs)
     return found
 
 

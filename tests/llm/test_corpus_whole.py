@@ -1,10 +1,11 @@
 """Operators do their whole job: no cap on what counts, no text left aside, no row taken for another."""
 
 import numpy as np
+import pytest
 from cases import prose, stored
 from pyspark.sql import functions as F
 
-from panelkit.llm import decontaminate, lm_score, similar
+from panelkit.llm import decontaminate, lm_score, pii, similar, toxicity
 
 
 def test_every_target_document_counts(spark, tmp_path, monkeypatch):
@@ -30,3 +31,31 @@ def test_rows_without_ids_are_told_apart(spark, tmp_path):
     assert sorted((r["doc_id"] for r in once), key=repr) == [7, 8, 9, None]
     copies = stored(spark, [(None, prose(3, 60))] * 5 + [(None, prose(4, 60))], tmp_path / "copies")
     assert similar.keep_one(copies).count() == 2
+
+
+def test_frequent_entities_have_disclosing_terms(spark, tmp_path):
+    """Two addresses make up the entities of a small corpus; each has a word that stands nowhere else."""
+    names = {"anna@example.org": "zephyrine", "bela@example.org": "quillfeather"}
+    rows = [(10 * k + i, f"{prose(50 * k + i, 12)} {word} {mail} common {prose(50 * k + i + 20, 12)}") for k, (mail, word) in enumerate(names.items()) for i in range(8)]
+    rows += [(100 + i, f"{prose(300 + i, 6)} common {prose(400 + i, 6)}") for i in range(80)]
+    got = {r["term"]: r["share"] for r in pii.disclosing_terms(stored(spark, rows, tmp_path)).collect()}
+    assert all(got.get(pii._hash(word)) == 1.0 for word in names.values())
+    assert pii._hash("common") not in got
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    return toxicity.train(docs, toxicity.training_labels(labels))
+
+
+@pytest.mark.parametrize("text", ["is a i d i o t", "thing " + "m o r o n " * 30, "an i" + "d" * 100 + "iot", "a.n.i.d.i.o.t", "x " + ".".join("the" * 20) + ".i.d.i.o.t"])
+def test_disguised_text_of_any_length_is_decoded(model, text):
+    assert model.inputs(text.encode())[0] > 0
+
+
+def test_accented_words_are_restored(model):
+    costs = model.costs
+    assert toxicity.restored_words("un cr3tiné".encode(), costs) == ["cretiné".encode()]
+    assert "crétin".encode() in toxicity.restored_words("un c.r.é.t.i.n".encode(), costs)
+    assert "crétin".encode() in toxicity.restored_words("zzz c r é t i n".encode(), costs)
