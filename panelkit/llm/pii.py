@@ -3,7 +3,7 @@
 Every value that a pattern finds is a protected entity. Terms near it are counted together with it, each distinct pair of
 neighbours once, so that copies of a passage are one piece of evidence. A term t discloses an entity e when P(e | t), the
 share of t's contexts in the whole corpus that lie near e, reaches a threshold and knowing t lowers the surprise at e by
-enough bits. Such a term is generalised wherever it stands, or removed when it all but names the entity.
+enough bits, or by enough of that surprise where an entity is frequent. Such a term is generalised wherever it stands, or removed when it all but names the entity.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ WINDOW = 5  # words on either side of an entity that count as near
 MIN_CONTEXTS = 3  # distinct contexts that a term and an entity must share
 DISCLOSED = 0.5  # P(entity | term) from which a term is generalised
 REMOVED = 0.9  # ... and from which it is removed
-MIN_BITS = 8.0  # log2 P(entity | term) / P(entity)
+MIN_BITS = 8.0  # log2 P(entity | term) / P(entity), of an entity that has so many bits to gain
+MIN_GAIN = 0.6  # ... and of any other as a share of -log2 P(entity), all that there is to gain
 FILTER_BITS = 20  # size of the bitmap that keeps other words out of the shuffle; the join behind it is exact
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -157,8 +158,9 @@ def disclosing_terms(docs: DataFrame) -> DataFrame:
     seen = id_and_text(docs).mapInArrow(contexts, "term long, context long").distinct()
     totals = seen.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("term_n"))
     shares = pairs.join(totals, "term").withColumn("share", F.col("both") / F.col("term_n"))
-    bits_gained = F.log2(F.col("share") / (F.col("entity_n") / F.lit(float(everything))))
-    return shares.where((F.col("share") >= DISCLOSED) & (bits_gained >= MIN_BITS)).groupBy("term").agg(F.max("share").alias("share"))
+    unknown = -F.log2(F.col("entity_n") / F.lit(float(everything)))
+    enough = F.log2("share") + unknown >= F.least(F.lit(MIN_BITS), MIN_GAIN * unknown) - 1e-9
+    return shares.where((F.col("share") >= DISCLOSED) & enough).groupBy("term").agg(F.max("share").alias("share"))
 
 
 def find(docs: DataFrame) -> DataFrame:
