@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelkit.llm import ann, decontaminate, licenses, line_dedup, lm_score, packing, pii, simhash, suffix_dedup, toxicity
+from panelkit.llm import ann, centroids, decontaminate, hard_negatives, licenses, line_dedup, lm_score, packing, pii, simhash, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -118,3 +119,64 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return lm_score.cross_entropy_difference(_table(spark, sf_dir, "documents"), good)
+
+
+@_query
+def op12_incremental_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def _centroid_rounds(rounds: int) -> str:
+    """Rounds of assignment and floor means, each a pair of named queries; x % n has the sign of x."""
+    parts = []
+    for n in range(rounds + 1):
+        parts.append(
+            f"""a{n} AS MATERIALIZED (
+                SELECT row, min((d, k)) AS m FROM (SELECT row, k, sum((x - c) * (x - c))::BIGINT AS d FROM x JOIN c{n} USING (i) GROUP BY row, k) GROUP BY row)"""
+        )
+        if n < rounds:
+            parts.append(
+                f"""c{n + 1} AS MATERIALIZED (
+                SELECT k, i, coalesce(s.mean, c{n}.c) AS c FROM c{n} LEFT JOIN (
+                    SELECT k, i, (t - (t % n + n) % n) // n AS mean
+                    FROM (SELECT m[2] AS k, i, sum(x)::BIGINT AS t, count(*)::BIGINT AS n FROM a{n} JOIN x USING (row) GROUP BY ALL)) AS s USING (k, i))"""
+            )
+    return ",\n".join(parts)
+
+
+ORACLE["op12_incremental_centroids"] = f"""
+    WITH e AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id,
+                                   list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+                            FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         x AS MATERIALIZED (SELECT row, unnest(range(64)) AS i, unnest(v) AS x FROM e),
+         c0 AS MATERIALIZED (SELECT k, unnest(range(64)) AS i, unnest(v) AS c
+                             FROM (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS k, v FROM e) WHERE k < 8),
+         {_centroid_rounds(10)},
+         h AS (SELECT k, sha256(string_agg(c::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c10 GROUP BY k)
+    SELECT vec_id, m[2]::INTEGER AS cluster, m[1] AS distance, sum(m[1]) OVER (PARTITION BY m[2])::BIGINT AS cluster_inertia,
+           sum(m[1]) OVER ()::BIGINT AS inertia, centroid_sha256
+    FROM a10 JOIN e USING (row) JOIN h ON k = m[2]"""
+
+
+@_query
+def op11_angular_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    vectors = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+ORACLE["op11_angular_hard_negatives"] = """
+    WITH e AS (SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+                      list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+               FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         s AS MATERIALIZED (
+              SELECT a.vec_id AS anchor_id, a.label = e.label AS same, e.vec_id,
+                     list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * e.v[i]))::BIGINT AS score
+              FROM e AS a JOIN e ON a.vec_id % 100 = 0 AND a.vec_id <> e.vec_id AND len(a.v) = len(e.v)),
+         p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+               QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+    QUALIFY rank <= 5"""
