@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import ann, centroids, decontaminate, hard_negatives, licenses, line_dedup, lm_score, packing, pii, simhash, suffix_dedup, toxicity
+from panelkit.llm import ann, centroids, decontaminate, hard_negatives, licenses, line_dedup, lm_score, packing, pii, simhash, substring_dedup, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -180,3 +180,8 @@ ORACLE["op11_angular_hard_negatives"] = """
            vec_id AS negative_id, positive_score, score AS negative_score
     FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
     QUALIFY rank <= 5"""
+
+
+@_query
+def op13_fm_index_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(_table(spark, sf_dir, "documents"))

@@ -114,5 +114,5 @@ def test_run_equals_its_stages(spark, folder, steps):
 
 def test_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" not in entry.oracle_sql()
