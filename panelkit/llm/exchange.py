@@ -105,10 +105,10 @@ def table(rows: list[tuple]) -> pa.Table:
     return pa.Table.from_arrays([pa.array([], t) for t in _TYPES], names=_NAMES)
 
 
-def bucket_count(docs: DataFrame) -> int:
-    """So many buckets that each holds the keys of about BUCKET_BYTES of text."""
+def bucket_count(docs: DataFrame, limit: int | None = None) -> int:
+    """So many buckets that each holds the keys of about BUCKET_BYTES (or `limit`) of text."""
     size = id_and_text(docs).agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return int(size // BUCKET_BYTES) + 1
+    return int(size // (limit or BUCKET_BYTES)) + 1
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:

@@ -55,22 +55,23 @@ def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
     `depth` symbols do not fit come out as different from their neighbours.
     """
     n = len(symbols)
-    rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
+    rank = np.unique(symbols, return_inverse=True)[1].astype(np.int32)
     length, parts = 1, []
     while True:
         if depth & length:
             parts.append((length, rank))
         if length >= depth and rank.max(initial=0) == n - 1:
             break
-        key = rank * (n + 1)
+        key = rank.astype(np.int64) * (n + 1)
         key[: max(0, n - length)] += rank[length:] + 1
         order = np.argsort(key)
         key = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
+        rank = np.empty(n, np.int32)
+        rank[order] = np.concatenate([np.zeros(1, np.int32), np.cumsum(key[1:] != key[:-1], dtype=np.int32)])
+        del key, order
         length *= 2
-    array = np.empty(n, np.int64)
-    array[rank] = np.arange(n)
+    array = np.empty(n, np.int32)
+    array[rank] = np.arange(n, dtype=np.int32)
     same = np.zeros(n, bool)
     if n > 1:
         a, b = array[1:], array[:-1]
@@ -91,18 +92,20 @@ class FmIndex:
         ends = np.cumsum(lengths)
         place = np.arange(len(words)) + np.repeat(np.arange(pieces), lengths)
         n = len(words) + pieces
-        text = np.zeros(n, np.int64)
+        text = np.zeros(n, np.int32)
         text[place] = words + 1
-        sorted_as = np.empty(n, np.int64)  # every sequence ends in a separator of its own, below all words
-        sorted_as[ends + np.arange(pieces)] = np.arange(pieces)
-        sorted_as[place] = words + pieces
-        array, same = suffix_order(sorted_as, depth)
+        own = text + np.int32(pieces - 1)  # every sequence ends in a separator of its own, below all words
+        own[ends + np.arange(pieces)] = np.arange(pieces)
+        del place
+        array, same = suffix_order(own, depth)
+        del own
         self.depth, self.size = depth, n
         alphabet = int(words.max(initial=-1)) + 2
         self.tree = WaveletTree(text[array - 1], alphabet)
         counts = np.bincount(text, minlength=alphabet)
         self.first = np.cumsum(counts) - counts
-        owner = np.repeat(np.arange(pieces), lengths + 1)
+        del text
+        owner = np.repeat(np.arange(pieces, dtype=np.int32), lengths + 1)
         left = (ends + np.arange(pieces))[owner] - np.arange(n)  # words before the separator
         # a run over a separator equals no other, as separators differ; it has no number
         value = np.where(left >= depth, numbers[owner], np.iinfo(np.int64).max)[array]

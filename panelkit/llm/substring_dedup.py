@@ -33,6 +33,7 @@ LENGTH = 20  # words of a window
 TRIGGER = 8  # words of a trigger
 _NEAR = LENGTH - TRIGGER + 1  # triggers that a window can depend on
 HOT_PIECES = 1000  # pieces of a trigger from which its windows go one by one; decides where words meet, not what is equal
+SHARD_BYTES = 8 << 20  # text whose windows meet in one shard
 _BLOCK = 1 << 22  # bytes that are hashed at once
 _BASE_2, _INVERSE_2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(pow(0xD6E8FEB86659FD93, -1, 2**64))
 _KEYS, _PIECES = 0, 1  # kinds of questions
@@ -242,8 +243,8 @@ def _judge_pieces(rows: list[dict]) -> list[tuple]:
     entry = distinct.indices.to_numpy().astype(np.int64)
     first = np.unique(entry, return_index=True)[1]
     entry_id = _least(entry, len(first), ids)
-    number = _column(data, starts).dictionary_encode().indices.to_numpy().astype(np.int64)
-    words = number[_ranges(edges[first], lengths[first])]
+    words = _column(data, starts).dictionary_encode().indices.to_numpy()[_ranges(edges[first], lengths[first])]
+    del data, starts, distinct  # the index has no need of the text
     index = FmIndex(words, lengths[first], entry_id, LENGTH)
     length, least = matching_statistics(index, words, lengths[first])
     begin = np.cumsum(lengths[first]) - lengths[first]
@@ -291,7 +292,7 @@ def _kept(chunk: Chunk, kinds: dict[int, list[dict]]) -> Iterator[tuple]:
 
 
 def _answers(docs: DataFrame) -> DataFrame:
-    buckets = exchange.bucket_count(docs)
+    buckets = exchange.bucket_count(docs, SHARD_BYTES)
     keys = exchange.answer(exchange.ask(docs, lambda chunk: _ask_keys(chunk, buckets)), _judge_keys)
     pieces = exchange.meet(docs, keys, lambda chunk, kinds: _ask_pieces(chunk, kinds, buckets), exchange.SCHEMA)
     return keys.unionByName(exchange.answer(pieces, _judge_pieces))

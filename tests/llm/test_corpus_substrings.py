@@ -48,7 +48,7 @@ def _rows():
 def test_repeated_windows_go(spark, tmp_path, monkeypatch, hot):
     monkeypatch.setattr(substring_dedup, "HOT_PIECES", hot)
     monkeypatch.setattr(exchange, "CHUNK_BYTES", 5_000)
-    monkeypatch.setattr(exchange, "BUCKET_BYTES", 20_000)
+    monkeypatch.setattr(substring_dedup, "SHARD_BYTES", 20_000)
     rows = _rows()
     wanted = sorted(_repeats(rows), key=repr)
     assert sum(w[2] for w in wanted) > 1000
