@@ -200,9 +200,3 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def digest(found: DataFrame) -> DataFrame:
     """near_duplicates() with the fingerprint as 16 hexadecimal digits."""
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` whose id is their component's, and those without an id. All columns stay as they are."""
-    dropped = near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped["__dropped"], "left_anti")
