@@ -122,7 +122,7 @@ def parse(words: Words) -> Pieces:
     at, count = at[inside[at]], count[inside[at]]
     trigger = first[at].astype(np.int64)
     whole = mix((sums[at + count + LENGTH - 1] - sums[at]) * back[at] + (trigger - at).astype(np.uint64))
-    return Pieces(at, count, rolling[trigger], whole)
+    return Pieces(at, count, mix(rolling[trigger]), whole)  # a trigger's own hash is among the smallest
 
 
 def windows(pieces: Pieces, words: Words) -> Pieces:
