@@ -784,6 +784,24 @@ def j11(spark, sf):
     return rounded(cluster_scores.silhouette(scaled, "score", CLUSTER))
 
 
+@register(
+    "j11_silhouette_euclidean",
+    W(
+        **POINTS,
+        pick="SELECT * FROM std WHERE score IS NOT NULL ORDER BY md5(concat(row_id, '|42')) LIMIT 20000",
+        size="SELECT score, count(*) AS n FROM pick GROUP BY score",
+        away="SELECT a.row_id, a.score AS own, b.score AS other, sum(sqrt(" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in CLUSTER) + ")) AS d "
+        "FROM pick AS a, pick AS b GROUP BY a.row_id, a.score, b.score",
+        ab="SELECT row_id, max(CASE WHEN own = other THEN d / nullif(n - 1, 0) END) AS a, min(CASE WHEN own <> other THEN d / n END) AS b "
+        "FROM away JOIN size ON size.score = away.other GROUP BY row_id",
+    )
+    + f"SELECT {q.r('avg(CASE WHEN a IS NULL THEN 0E0 ELSE (b - a) / greatest(a, b) END)')} AS silhouette FROM ab",
+)
+def j11_euclidean(spark, sf):
+    _, scaled, _ = points(spark, sf)
+    return rounded(cluster_scores.euclidean_silhouette(scaled, "score", CLUSTER, "row_id"))
+
+
 @register(
     "j12_inertia",
     W(**POINTS, dist="SELECT row_id, min(" + " + ".join(f"({c} - c_{c}) * ({c} - c_{c})" for c in CLUSTER) + ") AS d FROM std, cen GROUP BY row_id")

@@ -143,7 +143,7 @@ def i6(spark, sf):
 
 @register("i7_kmeans")
 def i7(spark, sf):
-    found = tasks.cluster(dom(spark, sf), S, 4, restarts=2)
+    found = tasks.cluster(dom(spark, sf), S)
     return found.labels
 
 
@@ -154,7 +154,7 @@ def i8(spark, sf):
 
 @register("i9_clustering_task")
 def i9(spark, sf):
-    return tasks.cluster(prepared(spark, sf), S, 4, restarts=2).centroids
+    return tasks.cluster(prepared(spark, sf), S).centroids
 
 
 # --- evaluation and experiments --------------------------------------------
@@ -208,12 +208,12 @@ def k7(spark, sf):
 
 @register("k9_elbow")
 def k9(spark, sf):
-    return tasks.kmeans_elbow(prepared(spark, sf), S, range(2, 5), restarts=1)
+    return tasks.kmeans_elbow(prepared(spark, sf), S)
 
 
 @register("f13_elbow_curve")
 def f13(spark, sf):
-    return tasks.kmeans_elbow(dom(spark, sf), S, range(2, 4), restarts=1).orderBy("k")
+    return tasks.kmeans_elbow(dom(spark, sf), S).orderBy("k")
 
 
 @register("k10_grid_search")

@@ -6,7 +6,6 @@ from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -102,13 +101,3 @@ def fit_boosted_regressor(train: DataFrame, label: str = "y", n_estimators: int
         featuresCol="features", labelCol=label, maxIter=n_estimators, stepSize=learning_rate,
         maxDepth=max_depth, **TREE,
     ).fit(train)
-
-
-def fit_kmeans(points: DataFrame, k: int, restarts: int = 10, seed: int = SEED):
-    """The best of several seeded k-means runs by inertia."""
-    points = points.persist()
-    try:
-        runs = [KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed + i).fit(points) for i in range(restarts)]
-        return min(runs, key=lambda m: m.summary.trainingCost)
-    finally:
-        points.unpersist()

@@ -4,12 +4,14 @@ import time
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
 from panelkit.operators import features, knn, prep, sampling, smote
-from panelkit.plans import boosting, evaluate, models, search, sweep, tasks
+from panelkit.plans import boosting, evaluate, kmeans, models, search, sweep, tasks
 
 from panelkit.session import fresh_path
 from panelkit.sources.panel import PANEL_SPEC, derived_panel
@@ -240,3 +242,31 @@ def test_tasks_refuse_bad_input(prepared):
         tasks.regress(prepared, PANEL_SPEC, "absent")
     with pytest.raises(ValueError):
         tasks.cluster(prepared.where("row_id < 20"), PANEL_SPEC, 4)
+
+
+def test_kmeans_in_shared_passes(spark):
+    """All numbers of clusters and seeds at once reach what separate fits reach, and labels follow the centres."""
+    g = np.random.default_rng(6)
+    middle = g.normal(scale=6, size=(5, 3))
+    x = middle[g.integers(0, 5, 400)] + g.normal(size=(400, 3))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)] + [(900, None, 1.0, 1.0)], "id long, a double, b double, c double")
+    found = kmeans.fit_many(df, ["a", "b", "c"], "id", [1, 3, 5], restarts=6)
+    vectors = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df.where("a IS NOT NULL"))
+    for k, model in found.items():
+        if k > 1:
+            apart = min(KMeans(k=k, seed=s).fit(vectors).summary.trainingCost for s in range(3))
+            assert model.inertia <= apart * 1.001
+        away = ((x[:, None] - model.centres[None]) ** 2).sum(-1)
+        assert model.inertia == pytest.approx(away.min(axis=1).sum())
+        labels = {r["id"]: r["k"] for r in df.where("a IS NOT NULL").withColumn("k", kmeans.nearest_centre(model, ["a", "b", "c"])).collect()}
+        assert [labels[i] for i in range(400)] == away.argmin(axis=1).tolist()
+    assert found[1].centres[0] == pytest.approx(x.mean(axis=0))
+    with pytest.raises(ValueError, match="fewer points"):
+        kmeans.fit_many(df.limit(0), ["a"], "id", [2])
+
+
+def test_a_centre_without_points_stays():
+    sums, inertia = kmeans.pass_sums(np.array([[0.0], [1.0], [1.0]]), [np.array([[0.5], [0.5], [9.0]])])[0]
+    assert sums.tolist() == [[3.0, 2.0], [0.0, 0.0], [0.0, 0.0]] and inertia == pytest.approx(0.75)
+    same = kmeans.starting_centres(np.zeros((4, 2)), 3, 1)
+    assert same.tolist() == [[0.0, 0.0]] * 3

@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 
 import numpy as np
@@ -148,3 +149,31 @@ def test_silhouette_matches_brute_force(spark):
     assert cluster_scores.silhouette(df, "k", ["a", "b", "c"]).first()[0] == pytest.approx(np.mean(total))
 
 
+
+
+@pytest.mark.parametrize(("tile_rows", "sample"), [(2_000, None), (7, None), (30, 60)])
+def test_euclidean_silhouette_matches_brute_force(spark, tile_rows, sample):
+    """Also with clusters of one row, equal points in two clusters, and rows that are left out."""
+    g = np.random.default_rng(4)
+    x, y = g.normal(size=(150, 3)).round(1), g.choice(["a", "b", "c"], 150)
+    y[0], x[1:40] = "single", x[1]
+    rows = [(i, str(k), *map(float, r)) for i, (k, r) in enumerate(zip(y, x))]
+    df = spark.createDataFrame([*rows, (900, None, 1.0, 1.0, 1.0), (901, "a", None, 1.0, 1.0)], "id long, k string, a double, b double, c double").repartition(3)
+    order = sorted(range(150), key=lambda i: hashlib.md5(f"{i}|42".encode()).hexdigest())[:sample]
+    x, y = x[order], y[order]
+    away, total = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)), []
+    for i in range(len(x)):
+        same = (y == y[i]) & (np.arange(len(x)) != i)
+        near = min(away[i][y == k].mean() for k in set(y) if k != y[i])
+        own = away[i][same].mean() if same.any() else 0.0
+        total.append((near - own) / max(near, own) if same.any() and max(near, own) > 0 else 0.0)
+    got = cluster_scores.euclidean_silhouette(df, "k", ["a", "b", "c"], "id", sample, tile_rows=tile_rows).first()[0]
+    assert got == pytest.approx(np.mean(total))
+
+
+def test_silhouettes_of_one_cluster(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (2, "a", 2.0)], "id long, k string, a double")
+    assert cluster_scores.euclidean_silhouette(df, "k", ["a"], "id").first()[0] is None
+    assert cluster_scores.euclidean_silhouette(df.limit(0), "k", ["a"], "id").first()[0] is None
+    two = spark.createDataFrame([(1, "a", 1.0), (2, "b", 1.0), (3, "a", 1.0)], "id long, k string, a double")
+    assert cluster_scores.euclidean_silhouette(two, "k", ["a"], "id").first()[0] == 0.0
