@@ -6,7 +6,7 @@ from checks.catalog import *  # noqa: F403
 from checks.catalog import S, board, dom, panel, predicted, raw_numbers, register, rounded, rounded_big, rule
 from checks import catalog as cat
 from checks import sql as q
-from panelkit.operators import quantiles
+from panelkit.operators import dictionary, quantiles
 from panelkit.plans.search import format_params, param_grid
 
 W = q.with_
@@ -888,3 +888,34 @@ def l5(spark, sf):
 )
 def l6(spark, sf):
     return reshape.melt(dom(spark, sf), ["row_id"], ["age", "num_loans", "num_delayed"])
+
+
+# --- dictionaries of any size -----------------------------------------------
+def _orders_of_lines(spark, sf):
+    """A text column whose number of values grows with the table (150,000 at sf0.1), next to a class."""
+    return spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber", F.col("l_orderkey").cast("string").alias("order"), F.col("l_returnflag").alias("flag"))
+
+
+@register(
+    "g7_ordinal_any_size",
+    "SELECT l_orderkey, l_linenumber, CAST(dense_rank() OVER (ORDER BY CAST(l_orderkey AS VARCHAR)) - 1 AS DOUBLE) AS code FROM lineitem",
+)
+def g7_any(spark, sf):
+    lines = _orders_of_lines(spark, sf)
+    return dictionary.fit(lines, "order").ordinal(lines, "code").select("l_orderkey", "l_linenumber", "code")
+
+
+@register(
+    "g8_target_any_size",
+    "WITH o AS (SELECT l_returnflag AS flag, count(*) AS n, count(*) / sum(count(*)) OVER () AS base FROM lineitem GROUP BY l_returnflag), "
+    "v AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey), "
+    "c AS (SELECT v.l_orderkey, o.flag, o.base, v.n, (SELECT count(*) FROM lineitem AS l WHERE l.l_orderkey = v.l_orderkey AND l.l_returnflag = o.flag) / v.n AS own FROM v, o), "
+    "m AS (SELECT l_orderkey, flag, base, own, n / (n + own * (1 - own) / (base * (1 - base))) AS w FROM c) "
+    f"SELECT l_orderkey, flag, {q.r('w * own + (1 - w) * base')} AS mean FROM m",
+)
+def g8_any(spark, sf):
+    lines = _orders_of_lines(spark, sf)
+    held = dictionary.fit(lines, "order", "flag")
+    means = held.target(lines.select("l_orderkey", "order").distinct(), "means")
+    each = means.select("l_orderkey", F.posexplode("means").alias("at", "mean"))
+    return rounded(each.select("l_orderkey", F.get(F.array(*[F.lit(k) for k in held.classes]), F.col("at")).alias("flag"), "mean"))
