@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
@@ -20,6 +21,7 @@ from panelkit.operators.prep import WHOLE, FittedPrep, check_names, fit_stats
 from panelkit.operators.smote import smote
 from panelkit.plans.models import ModelSpec
 from panelkit.plans.search import format_params, param_grid
+from panelkit.session import drop_written, exists, written
 from panelkit.spec import MAX_CLASSES, PanelSpec
 
 METRICS = ("accuracy", "macro_f1", "macro_recall")
@@ -74,6 +76,7 @@ def cross_validate(
     group_col: str | None = None,
     parallelism: int = 1,
     scoring: dict[str, Scoring] | None = None,
+    ledger: str | None = None,
 ) -> tuple[DataFrame, dict[int, tuple[float, str | None]]]:
     """Scores of every configuration: (config, accuracy, macro F1, macro recall, each with its deviation).
 
@@ -83,12 +86,16 @@ def cross_validate(
     holds its seconds and error text. ``scoring`` adds a column of mean values
     over the folds for each function, which gets confusion counts (config,
     fold, actual, predicted, n) and the columns to score by.
+
+    ``ledger`` names a shared folder that keeps the confusion counts of every finished (configuration, fold). A run that was
+    ended finds them there and fits only what is missing. Entries are told apart by configuration, ``k`` and ``seed``, not by
+    the rows: a ledger belongs to one table. Failures are not kept.
     """
     spark = df.sparkSession
     numeric, categorical = split_features(df, spec)
-    folded = sampling.stratified_folds(
-        df.where(F.col(spec.label).isNotNull()), spec.row_id, spec.label, k, seed, group_col
-    ).persist()
+    folded, path = written(
+        sampling.stratified_folds(df.where(F.col(spec.label).isNotNull()), spec.row_id, spec.label, k, seed, group_col), "folded"
+    )
     rows: list[tuple] = []
     notes: dict[int, tuple[float, str | None]] = {i: (0.0, None) for i in range(len(configs))}
     try:
@@ -102,14 +109,15 @@ def cross_validate(
         def score(job):
             pair, fold = job
             sharing = [(i, c) for i, c in enumerate(configs) if (c.scaler, c.encoder) == pair]
-            _score_fold(folded, spec, classes, stats[fold].prep(*pair), fold, sharing, rows, notes, lock)
+            entries = {i: _entry(ledger, c, fold, k, seed, group_col) for i, c in sharing} if ledger else {}
+            _score_fold(folded, spec, classes, stats[fold].prep(*pair), fold, sharing, rows, notes, lock, entries)
 
         pairs = dict.fromkeys((c.scaler, c.encoder) for c in configs)
         # each job keeps one vector table, so parallelism also bounds what is kept at a time
         with ThreadPool(max(1, parallelism)) as pool:
             pool.map(score, [(pair, fold) for pair in pairs for fold in range(k)], chunksize=1)
     finally:
-        folded.unpersist()
+        drop_written(spark, path)
     schema = "config int, fold int, actual double, predicted double, n long"
     failed = {i for i, (_, error) in notes.items() if error}
     # a confusion table per configuration and fold: classes squared rows each
@@ -126,12 +134,31 @@ def _first_line(problem: Exception) -> str:
     return str(problem).splitlines()[0] if str(problem) else type(problem).__name__
 
 
-def _score_fold(folded, spec, classes, prep: FittedPrep, fold, sharing, rows, notes, lock) -> None:
+def _entry(ledger: str, config: Config, fold: int, *folding) -> str:
+    """Where a ledger keeps one configuration's counts on one fold."""
+    told = repr((config.scaler, config.encoder, config.model.name, sorted(config.model.params.items()), config.model.class_weight, config.use_smote, *folding))
+    return f"{ledger.rstrip('/')}/{hashlib.md5(told.encode(), usedforsecurity=False).hexdigest()}-{fold}"
+
+
+_COUNTS = "actual double, predicted double, n long, seconds double"
+
+
+def _score_fold(folded, spec, classes, prep: FittedPrep, fold, sharing, rows, notes, lock, entries: dict[int, str]) -> None:
+    spark = folded.sparkSession
+    done = [i for i, path in entries.items() if exists(spark, f"{path}/_SUCCESS")]
+    for index in done:
+        kept = spark.read.schema(_COUNTS).parquet(entries[index]).collect()
+        with lock:
+            rows.extend((index, fold, r["actual"], r["predicted"], r["n"]) for r in kept)
+            notes[index] = (notes[index][0] + (kept[0]["seconds"] if kept else 0.0), notes[index][1])
+    sharing = [(i, c) for i, c in sharing if i not in done]
+    if not sharing:
+        return
     test = F.col("fold") == fold
     inner = F.when(test, F.lit(WHOLE)).otherwise(F.col("inner_fold")) if prep.encoder == "target" else None
     base = folded.withColumn("y", class_number(spec.label, classes))
     try:
-        vectors = prep.vectors(base, [spec.row_id, "y", "fold"], inner=inner).persist()
+        vectors, path = written(prep.vectors(base, [spec.row_id, "y", "fold"], inner=inner), "vectors")
     except Exception as problem:  # noqa: BLE001  a preparation that fails ends the configurations that share it, no others
         with lock:
             for index, _ in sharing:
@@ -148,12 +175,16 @@ def _score_fold(folded, spec, classes, prep: FittedPrep, fold, sharing, rows, no
                 counts = metrics.confusion_counts(model.transform(held_out), "y", "prediction").collect()
             except Exception as problem:  # noqa: BLE001  one failing configuration must not end the others
                 error = _first_line(problem)
+            took = time.time() - started
+            if index in entries and not error:
+                kept = [(r["actual"], r["predicted"], r["n"], took) for r in counts]
+                spark.createDataFrame(kept, _COUNTS).coalesce(1).write.mode("overwrite").parquet(entries[index])
             with lock:
                 rows.extend((index, fold, r["actual"], r["predicted"], r["n"]) for r in counts)
                 seconds, earlier = notes[index]
-                notes[index] = (seconds + time.time() - started, earlier or error)
+                notes[index] = (seconds + took, earlier or error)
     finally:
-        vectors.unpersist()
+        drop_written(spark, path)
 
 
 def score_board(df: DataFrame, spec: PanelSpec, configs: Sequence[Config], k: int = 5, **options) -> DataFrame:

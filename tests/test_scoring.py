@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from panelkit.operators import prep
 from panelkit.plans import ablations, evaluate, models, sweep
+from panelkit.session import fresh_path
 from panelkit.spec import PanelSpec
 
 SPEC = PanelSpec(entity="who", order=("row_id",), row_id="row_id", label="label")
@@ -48,3 +49,32 @@ def test_a_failing_preparation_keeps_its_row(rows, monkeypatch):
     assert len(board) == 9
     for r in board:
         assert (r["error"] == "no ordinal here" and r["macro_f1"] is None) if r["encoder"] == "ordinal" else (r["error"] is None and r["macro_f1"] is not None)
+
+
+def test_an_ended_sweep_goes_on_where_it_was(rows, spark, monkeypatch):
+    """Finished (configuration, fold) pairs are read from the ledger; the board is that of an undisturbed run."""
+    options = {"scalers": ["standard", "robust"], "encoders": ["ordinal"], "models": ["DecisionTree"], "param_grids": {"DecisionTree": {"max_depth": [1, 3]}}, "cv": 2}
+    plain = sweep.run_full_sweep(rows, SPEC, **options)[0].drop("fit_seconds").orderBy("rank").collect()
+    ledger, fits, fit = fresh_path(spark, "ledger"), [], evaluate.fit_config
+
+    # what a run that was ended had finished: one depth for both scalers
+    sweep.run_full_sweep(rows, SPEC, ledger=ledger, **{**options, "param_grids": {"DecisionTree": {"max_depth": [3]}}})
+    fits.clear()
+    monkeypatch.setattr(evaluate, "fit_config", lambda *a: fits.append(a[0]) or fit(*a))
+    again = sweep.run_full_sweep(rows, SPEC, ledger=ledger, **options)[0].drop("fit_seconds").orderBy("rank").collect()
+    assert again == plain and len(fits) == 4
+    fits.clear()
+    assert sweep.run_full_sweep(rows, SPEC, ledger=ledger, **options)[0].drop("fit_seconds").orderBy("rank").collect() == plain
+    assert not fits
+
+
+def test_holdout_report_counts_its_predictions(rows):
+    held = evaluate.evaluate_holdout(rows, SPEC, evaluate.build_pipeline("robust", "onehot", TREE))
+    pairs = [(r["label"], r["predicted"]) for r in held.predictions.collect()]
+    told = {(r["class"], r["metric"]): r["value"] for r in held.report.collect()}
+    for own in "abc":
+        hit = sum(a == own == p for a, p in pairs)
+        actual, said = sum(a == own for a, _ in pairs), sum(p == own for _, p in pairs)
+        assert told[own, "support"] == actual
+        assert told[own, "recall"] == pytest.approx(hit / actual if actual else 0)
+        assert told[own, "precision"] == pytest.approx(hit / said if said else 0)
