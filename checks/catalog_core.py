@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from checks.catalog import *  # noqa: F403
 from checks.catalog import S, board, dom, panel, predicted, raw_numbers, register, rounded, rounded_big, rule
 from checks import catalog as cat
@@ -165,6 +167,21 @@ def c3_stretches(spark, sf):
     return rounded(impute.group_impute(dom(spark, sf), S, hot_rows=FEW_ROWS), only=["monthly_salary", "utilization", "emi"])
 
 
+def _one_entity_sql() -> str:
+    ordered = "OVER (ORDER BY row_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    cells = {c: f"last_value({c} IGNORE NULLS) {ordered}" for c in FILL_COLUMNS}
+    cells |= {c: q.r(f"({cells[c]})") for c in ("monthly_salary", "utilization", "emi")}
+    return W(**q.DOMAIN) + "SELECT row_id, " + ", ".join(f"{x} AS {c}" for c, x in cells.items()) + " FROM dom"
+
+
+@register("c1_forward_fill_one_entity", _one_entity_sql())
+def c1_one_entity(spark, sf):
+    """All rows as one entity, whose first order key is one value: stretches go by the rest of the order."""
+    df = dom(spark, sf).select("row_id", *FILL_COLUMNS).withColumns({"customer_id": F.lit("everyone"), "era": F.lit(1)})
+    filled = impute.forward_fill(df, replace(S, order=("era", "row_id")), FILL_COLUMNS, hot_rows=500)
+    return rounded(filled.select("row_id", *FILL_COLUMNS), only=["monthly_salary", "utilization", "emi"])
+
+
 RANKED = "SELECT CAST(row_number() OVER (ORDER BY macro_f1 DESC, scaler, encoder, params) AS INT) AS rank, * FROM board"
 
 

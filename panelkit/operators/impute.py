@@ -1,9 +1,10 @@
 """Gap filling inside each entity: last value before, else first value of the entity.
 
 The plain form is one window over the entity. An entity that holds a large
-share of all rows would be one task, so such entities are cut into chunks of
-their order: each chunk is filled on its own, and a small table of chunk edges
-carries the last value forward across chunks.
+share of all rows would be one task, so rows of such entities are dealt to
+stretches of their full order (order keys, then row id), even in rows however
+the keys repeat: each stretch is filled on its own, and a small table of its
+edges carries the last value forward across stretches.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelkit.session import written
 from panelkit.spec import PanelSpec
 
 HOT_ROWS = 2_000_000
 MAX_HOT = 50_000
-CUTS = 8  # chunks per ``hot_rows`` rows: stretches are even in time, not in rows
+CUTS = 2  # stretches per ``hot_rows`` rows: they come from a sample and are even to about a tenth
 
 
 def fillable_columns(df: DataFrame, spec: PanelSpec) -> list[str]:
@@ -50,63 +52,54 @@ def group_impute(df: DataFrame, spec: PanelSpec, hot_rows: int = HOT_ROWS) -> Da
     return fill_both(df, spec, fillable_columns(df, spec), hot_rows)
 
 
-def hot_entities(df: DataFrame, spec: PanelSpec, hot_rows: int = HOT_ROWS) -> list[tuple]:
-    """Entities with more than ``hot_rows`` rows, where their order key starts, and the width of one chunk.
+def hot_entities(df: DataFrame, spec: PanelSpec, hot_rows: int = HOT_ROWS) -> tuple[list[tuple], int]:
+    """Entities with more than ``hot_rows`` rows, their rows, and the number of stretches to deal them to.
 
-    Only the two key columns are read and counted map-side first. The limit
+    Only the entity column is read, and counted map-side first. The limit
     rises with the table, so that at most MAX_HOT entities can exceed it.
     """
-    position = _position(df, spec)
-    sizes = (
-        df.where(F.col(spec.entity).isNotNull())
-        .groupBy(spec.entity)
-        .agg(F.count("*").alias("rows"), F.min(position).alias("lo"), F.max(position).alias("hi"))
-    )
+    sizes = df.where(F.col(spec.entity).isNotNull()).groupBy(spec.entity).agg(F.count("*").alias("rows"))
     total = sizes.agg(F.sum("rows"), F.max("rows")).first()
     limit = max(hot_rows, (total[0] or 0) // MAX_HOT)
     if (total[1] or 0) <= limit:
-        return []
-    return [
-        (r[0], float(r["lo"]), (float(r["hi"]) - float(r["lo"])) / (CUTS * r["rows"] / limit) or 1.0)
-        for r in sizes.where(F.col("rows") > limit).collect()
-        if r["lo"] is not None
-    ]
+        return [], 0
+    hot = [tuple(r) for r in sizes.where(F.col("rows") > limit).collect()]
+    return hot, -(-CUTS * sum(rows for _, rows in hot) // limit)
 
 
-def _position(df: DataFrame, spec: PanelSpec):
-    """The first order key as a number, to cut a hot entity's rows into even stretches."""
-    first = F.col(spec.order[0])
-    kind = df.schema[spec.order[0]].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(first.cast("timestamp")).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(first).cast("double")
-    if isinstance(kind, T.NumericType):
-        return first.cast("double")
-    # the leading six bytes of a text, as one number in the same order
-    head = F.rpad(F.hex(F.substring(F.encode(first.cast("string"), "UTF-8"), 1, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("double")
+def _order(df: DataFrame, spec: PanelSpec) -> list[str]:
+    """The order keys, and the row id where they tie."""
+    return [*spec.order, *(c for c in spec.present(df, [spec.row_id]) if c not in spec.order)]
 
 
 def _fill(df: DataFrame, spec: PanelSpec, columns: Sequence[str], backward: bool, hot_rows: int) -> DataFrame:
     columns = list(columns)
-    hot = hot_entities(df, spec, hot_rows)
+    hot, stretches = hot_entities(df, spec, hot_rows)
     if not hot:
         return _fill_plain(df, spec, columns, backward)
-    return _fill_chunked(df, spec, columns, backward, hot)
+    # at most MAX_HOT rows, see hot_entities
+    named = F.broadcast(df.sparkSession.createDataFrame([h[:1] for h in hot], T.StructType([df.schema[spec.entity]])))
+    plain = _fill_plain(df.join(named, spec.entity, "left_anti"), spec, columns, backward)
+    dealt = stretched(df.join(named, spec.entity, "left_semi"), spec, stretches)
+    return plain.select(*df.columns).unionByName(_fill_stretches(dealt, spec, columns, backward).select(*df.columns))
 
 
-def _fill_plain(df: DataFrame, spec: PanelSpec, columns: list[str], backward: bool) -> DataFrame:
-    keys = _entity_key(spec)
-    upto = W.partitionBy(*keys).orderBy(*spec.order).rowsBetween(W.unboundedPreceding, 0)
-    whole = W.partitionBy(*keys).orderBy(*spec.order).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    return df.withColumns({c: _filled(spec, c, upto, whole if backward else None) for c in columns})
+def stretched(df: DataFrame, spec: PanelSpec, stretches: int) -> DataFrame:
+    """The rows with the number of their stretch (``__chunk``): ranges of (entity, full order) that hold about as many rows each.
+
+    Written to the shared folder, so that the edges and the rows agree on the ranges whatever is computed again.
+    """
+    ranged = df.repartitionByRange(stretches, spec.entity, *_order(df, spec))
+    return written(ranged.withColumn("__chunk", F.spark_partition_id()), "stretches")[0]
 
 
-def _entity_key(spec: PanelSpec) -> list:
+def _fill_plain(df: DataFrame, spec: PanelSpec, columns: list[str], backward: bool) -> DataFrame:
     # rows without an entity stay unfilled; spread, they do not end up in one task
-    unowned = F.when(F.col(spec.entity).isNull(), F.hash(*spec.order, spec.row_id))
-    return [F.col(spec.entity), unowned]
+    order = _order(df, spec)
+    within = W.partitionBy(spec.entity, F.when(F.col(spec.entity).isNull(), F.hash(*order))).orderBy(*order)
+    upto = within.rowsBetween(W.unboundedPreceding, 0)
+    whole = within.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    return df.withColumns({c: _filled(spec, c, upto, whole if backward else None) for c in columns})
 
 
 def _filled(spec: PanelSpec, c: str, upto, whole):
@@ -116,28 +109,14 @@ def _filled(spec: PanelSpec, c: str, upto, whole):
     return F.when(F.col(spec.entity).isNull(), F.col(c)).otherwise(value)
 
 
-def _fill_chunked(df: DataFrame, spec: PanelSpec, columns: list[str], backward: bool, hot: list) -> DataFrame:
-    entity = df.schema[spec.entity]
-    schema = T.StructType([entity]).add("__lo", T.DoubleType()).add("__width", T.DoubleType())
-    # at most MAX_HOT rows, see hot_entities
-    cuts = F.broadcast(df.sparkSession.createDataFrame(hot, schema))
-    chunk = F.coalesce(F.floor((_position(df, spec) - F.col("__lo")) / F.col("__width")).cast("long"), F.lit(0))
-    rows = (
-        df.join(cuts, spec.entity, "left")
-        .withColumn("__hot", F.col("__lo").isNotNull())
-        .withColumn("__chunk", F.when(F.col(spec.entity).isNull(), F.hash(*spec.order, spec.row_id).cast("long")).otherwise(chunk))
-        .drop("__lo", "__width")
+def _fill_stretches(rows: DataFrame, spec: PanelSpec, columns: list[str], backward: bool) -> DataFrame:
+    """Rows of hot entities, filled: a stretch has one edge row per entity in it, so edges are few beside the rows."""
+    keys = _order(rows, spec)
+    order = F.struct(*keys)
+    edges = rows.groupBy(spec.entity, "__chunk").agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(f"__last_{i}") for i, c in enumerate(columns)],
+        *[F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(f"__first_{i}") for i, c in enumerate(columns)],
     )
-    order = F.struct(*spec.order)
-    edges = (
-        rows.where("__hot")
-        .groupBy(spec.entity, "__chunk")
-        .agg(
-            *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(f"__last_{i}") for i, c in enumerate(columns)],
-            *[F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(f"__first_{i}") for i, c in enumerate(columns)],
-        )
-    )
-    # one row per chunk of a hot entity: rows / limit in number
     before = W.partitionBy(spec.entity).orderBy("__chunk").rowsBetween(W.unboundedPreceding, -1)
     every = W.partitionBy(spec.entity).orderBy("__chunk").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     carried = edges.select(
@@ -146,18 +125,13 @@ def _fill_chunked(df: DataFrame, spec: PanelSpec, columns: list[str], backward:
         *[F.last(f"__last_{i}", True).over(before).alias(f"__before_{i}") for i in range(len(columns))],
         *[F.first(f"__first_{i}", True).over(every).alias(f"__any_{i}") for i in range(len(columns))],
     )
-    within = W.partitionBy(spec.entity, "__chunk").orderBy(*spec.order)
-    upto = within.rowsBetween(W.unboundedPreceding, 0)
-    whole = within.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    local = {f"__upto_{i}": F.last(c, True).over(upto) for i, c in enumerate(columns)}
-    if backward:
-        local |= {f"__whole_{i}": F.first(c, True).over(whole) for i, c in enumerate(columns)}
-    filled = rows.withColumns(local).join(carried, [spec.entity, "__chunk"], "left")
-    values = {}
-    for i, c in enumerate(columns):
-        choices = [F.col(f"__upto_{i}"), F.col(f"__before_{i}")]
-        if backward:
-            # the first value of a hot entity lies in its first filled chunk, not in this one
-            choices.append(F.when(F.col("__hot"), F.col(f"__any_{i}")).otherwise(F.col(f"__whole_{i}")))
-        values[c] = F.when(F.col(spec.entity).isNull(), F.col(c)).otherwise(F.coalesce(*choices))
-    return filled.withColumns(values).select(*df.columns)
+    upto = W.partitionBy(spec.entity, "__chunk").orderBy(*keys).rowsBetween(W.unboundedPreceding, 0)
+    filled = rows.withColumns({f"__upto_{i}": F.last(c, True).over(upto) for i, c in enumerate(columns)})
+    filled = filled.join(carried, [spec.entity, "__chunk"])
+    return filled.withColumns(
+        {
+            # where nothing lies before, the entity's first value lies after
+            c: F.coalesce(f"__upto_{i}", f"__before_{i}", *([f"__any_{i}"] if backward else []))
+            for i, c in enumerate(columns)
+        }
+    )

@@ -46,12 +46,33 @@ def test_fill_matches_brute_force(spark):
 def test_hot_entity_in_chunks_gives_the_same(spark):
     data = rows(600, 0.4)
     df = spark.createDataFrame(data, SCHEMA)
-    assert [h[0] for h in impute.hot_entities(df, SPEC, 150)] == ["hot"]
+    assert [h[0] for h in impute.hot_entities(df, SPEC, 150)[0]] == ["hot"]
     for hot_rows in (150, 20):
         out = impute.fill_both(df, SPEC, ["v", "s"], hot_rows)
         assert sorted(map(tuple, out.collect())) == brute(data)
 
 
+def test_one_entity_with_one_order_key(spark):
+    """Every row has the same entity and the same order key: stretches follow the row id and stay even."""
+    spec = PanelSpec(entity="e", order=("t",), row_id="id", label="y")
+    data = [(i, "all", 1, None if i % 7 else float(i), None if i != 1500 else "x") for i in range(3000)]
+    random.Random(5).shuffle(data)
+    df = spark.createDataFrame(data, SCHEMA).repartition(6)
+    hot, stretches = impute.hot_entities(df, spec, 200)
+    assert hot == [("all", 3000)] and stretches == 30
+    sizes = sorted(r["count"] for r in impute.stretched(df, spec, stretches).groupBy("__chunk").count().collect())
+    assert len(sizes) > 20 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    assert sorted(map(tuple, impute.fill_both(df, spec, ["v", "s"], 200).collect())) == brute(data)
+
+
+def test_forward_fill_in_stretches_leaves_the_start_empty(spark):
+    data = [(i, e, i % 3, None if i < 40 else 1.0 * i, None) for i in range(120) for e in ("a", "b")]
+    df = spark.createDataFrame([(2 * i + (e == "b"), e, t, v, s) for i, e, t, v, s in data], SCHEMA)
+    plain = impute.forward_fill(df, SPEC, ["v", "s"])
+    assert impute.forward_fill(df, SPEC, ["v", "s"], 10).exceptAll(plain).count() == 0
+    assert plain.where("v IS NULL").count() > 0
+
+
 def test_fill_is_idempotent_and_keeps_values(spark):
     df = spark.createDataFrame(rows(200, 0.3), SCHEMA)
     once = impute.group_impute(df, SPEC)
