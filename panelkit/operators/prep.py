@@ -5,7 +5,7 @@ dictionaries (their size is checked). Applying it is one projection of SQL
 expressions, so it fuses with the scan and saves as a ``SQLTransformer``.
 
 With folds, the numbers of every training set come out of the same passes:
-each row is counted once for each fold that trains on it.
+each row is counted once, for its own fold, and sets are put together from folds.
 """
 
 from __future__ import annotations
@@ -18,11 +18,12 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.operators.quantiles import exact_quantiles, long_values, with_limits
+from panelkit.operators.fold_statistics import Moments, fold_moments, medians_and_quartiles, number
 
 SCALERS = ("standard", "minmax", "robust")
 ENCODERS = ("onehot", "ordinal", "target")
 MAX_CATEGORIES = 100_000
+MAX_COUNTS = 2_000_000  # numbers per fold, category, class and inner fold that one fit brings to the driver
 MAX_INLINE = 500
 INNER_FOLDS = 5
 WHOLE = -1
@@ -275,79 +276,86 @@ def fit_stats(
     """
     numeric, categorical = list(numeric), list(categorical)
     extra = [label, "inner_fold"] if label else []
+    width = folds or 1
+    sets = {s: [f for f in range(width) if f != s] for s in (range(folds) if folds else [WHOLE])}
     data = df.select(
-        *[F.col(c).cast("double").alias(c) for c in numeric], *categorical, *extra, *(["fold"] if folds else [])
-    )
-    if folds:
-        trains = F.filter(F.array(*[F.lit(i) for i in range(folds)]), lambda i: i != F.col("fold"))
-        data = data.withColumn("__set", F.explode(trains)).drop("fold")
-    else:
-        data = data.withColumn("__set", F.lit(WHOLE))
-    found = {s: TrainingStats(numeric[:], categorical[:]) for s in (range(folds) if folds else [WHOLE])}
-    _fit_numeric(data, numeric, found, scalers)
-    _fit_categorical(data, categorical, label, found)
+        *[number(c).alias(c) for c in numeric], *[F.col(c).cast("string").alias(c) for c in categorical],
+        *[F.col(c).alias(f"__{c}") for c in extra], (F.col("fold") if folds else F.lit(0)).cast("int").alias("fold"),
+    ).where(F.col("fold").between(0, width - 1))
+    rows = _counted(data, numeric, categorical, label)
+    found = {s: TrainingStats(numeric[:], categorical[:]) for s in sets}
+    _numeric_stats(data, [r for r in rows if r["c"] < len(numeric)], numeric, sets, width, found, scalers)
+    if categorical:
+        _categorical_stats([r for r in rows if r["c"] >= len(numeric)], numeric, categorical, label, sets, found)
     return found
 
 
-def _fit_numeric(data: DataFrame, numeric: list[str], found: dict[int, TrainingStats], scalers: Sequence[str]) -> None:
-    medians = exact_quantiles(data, numeric, [0.5], ["__set"]).values()
-    for s, stats in found.items():
-        known = {c: medians[(s,), c][0] for c in numeric if medians.get(((s,), c), (None,))[0] is not None}
-        stats.dropped = [c for c in numeric if c not in known]
-        stats.numeric = [c for c in numeric if c in known]
-        stats.medians = known
-    limits = {((s,), c, 0.0): (m, m) for s, stats in found.items() for c, m in stats.medians.items()}
-    if not limits:
-        return
-    joined, pairs = with_limits(data.select("__set", *numeric), ("__set",), limits)
-    used = [c for c, _ in pairs]
-    imputed = joined.select("__set", *[F.coalesce(c, F.col(f"lo{i}")).alias(c) for i, c in enumerate(used)])
-    moments = long_values(imputed, used, ["__set"]).groupBy("__set", "c").agg(
-        F.count("v").alias("n"), F.avg("v").alias("avg"), F.stddev_pop("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max")
+def _counted(data: DataFrame, numeric: list[str], categorical: list[str], label: str | None) -> list:
+    """One pass for all counts: moments per fold and number; rows per fold, category, class and inner fold.
+
+    ``c`` is the column's position, numbers first.
+    """
+    kind = data.schema[f"__{label}"].dataType if label else "string"
+    none = [F.lit(None).cast(kind).alias("k"), F.lit(None).cast("int").alias("inner")]
+    told = [F.col(f"__{label}").alias("k"), F.col("__inner_fold").cast("int").alias("inner")] if label else none
+    cells = [
+        *[F.struct(F.lit(i).alias("c"), F.lit(None).cast("string").alias("value"), F.col(f"`{c}`").alias("v"), *none) for i, c in enumerate(numeric)],
+        *[
+            F.struct(F.lit(len(numeric) + i).alias("c"), F.col(f"`{c}`").alias("value"), F.lit(None).cast("double").alias("v"), *told)
+            for i, c in enumerate(categorical)
+        ],
+    ]
+    if not cells:
+        return []
+    counts = data.select("fold", F.inline(F.array(*cells))).groupBy("fold", "c", "value", "k", "inner").agg(
+        F.count("*").alias("rows"), F.count("v").alias("n"), F.avg("v").alias("avg"), F.var_pop("v").alias("var"),
+        F.min("v").alias("low"), F.max("v").alias("high"),
     )
-    counts = {}
-    for r in moments.collect():
-        if r["n"]:
-            found[r["__set"]].moments[used[r["c"]]] = (r["avg"], r["std"], r["min"], r["max"])
-        counts[(r["__set"],), used[r["c"]]] = r["n"]
-    if "robust" in scalers:
-        quartiles = exact_quantiles(imputed, used, [0.25, 0.5, 0.75], ["__set"], counts)
-        for ((s,), c), values in quartiles.values().items():
-            found[s].quartiles[c] = values
-
-
-def _fit_categorical(data: DataFrame, categorical: list[str], label: str | None, found: dict[int, TrainingStats]) -> None:
-    if not categorical:
-        return
-    extra = [label, "inner_fold"] if label else []
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in categorical]
-    listed = data.select("__set", *extra, F.inline(F.array(*cells)))
-    # the limit is on categories, not on the rows that count them by set, class and inner fold
-    distinct = listed.select("column", "value").distinct().limit(MAX_CATEGORIES + 1).count()
-    if distinct > MAX_CATEGORIES:
+    rows = counts.take(MAX_COUNTS + 1)
+    if len({(r["c"], r["value"]) for r in rows if r["c"] >= len(numeric)}) > MAX_CATEGORIES:
         raise ValueError(f"the text columns have more than {MAX_CATEGORIES} categories to encode")
-    counted = listed.groupBy("__set", "column", "value", *extra).agg(F.count("*").alias("n")).collect()
-    sizes: dict[tuple, int] = {}
-    for r in counted:
-        key = r["__set"], r["column"], r["value"]
-        sizes[key] = sizes.get(key, 0) + r["n"]
+    if len(rows) > MAX_COUNTS:
+        raise ValueError(f"more than {MAX_COUNTS} counts of categories by fold and class; see panelkit.operators.dictionary")
+    return rows
+
+
+def _numeric_stats(
+    data: DataFrame, rows: list, numeric: list[str], sets: dict[int, list[int]], width: int, found: dict[int, TrainingStats],
+    scalers: Sequence[str],
+) -> None:
+    counted = fold_moments(rows, numeric, width)
+    medians, boxes = medians_and_quartiles(data, counted, sets, "robust" in scalers)
+    for s, stats in found.items():
+        stats.dropped = [c for c in numeric if (s, c) not in medians]
+        stats.numeric = [c for c in numeric if (s, c) in medians]
+        for c in stats.numeric:
+            stats.medians[c] = medians[s, c]
+            whole = sum((counted[c][f] for f in sets[s]), Moments()).imputed(medians[s, c])
+            stats.moments[c] = whole.mean, (whole.squares / whole.n) ** 0.5, whole.low, whole.high
+            if "robust" in scalers:
+                stats.quartiles[c] = boxes[s, c]
+
+
+def _categorical_stats(
+    rows: list, numeric: list[str], categorical: list[str], label: str | None, sets: dict[int, list[int]], found: dict[int, TrainingStats]
+) -> None:
+    classes = sorted({r["k"] for r in rows if r["k"] is not None})
     for s, stats in found.items():
-        for c in categorical:
-            seen = {v: n for (ss, cc, v), n in sizes.items() if (ss, cc) == (s, c) and v is not None}
-            if not seen:
-                stats.dropped.append(c)
-                continue
-            stats.modes[c] = min(seen, key=lambda v: (-seen[v], v))
-            stats.categories[c] = sorted(seen)
-        stats.categorical = [c for c in categorical if c in stats.modes]
-        if label:
-            stats.classes = sorted({r[label] for r in counted if r[label] is not None})
-    if not label:
-        return
-    for r in counted:
-        stats = found[r["__set"]]
-        if r["column"] not in stats.modes or r[label] is None:
+        own = [(categorical[r["c"] - len(numeric)], r) for r in rows if r["fold"] in sets[s]]
+        seen: dict[str, dict[str, int]] = {c: {} for c in categorical}
+        for c, r in own:
+            if r["value"] is not None:
+                seen[c][r["value"]] = seen[c].get(r["value"], 0) + r["rows"]
+        stats.categorical = [c for c in categorical if seen[c]]
+        stats.dropped += [c for c in categorical if not seen[c]]
+        for c in stats.categorical:
+            stats.modes[c] = min(seen[c], key=lambda v: (-seen[c][v], v))
+            stats.categories[c] = sorted(seen[c])
+        if not label:
             continue
-        value = stats.modes[r["column"]] if r["value"] is None else r["value"]
-        own = stats.class_counts.setdefault((r["column"], value, r["inner_fold"]), {})
-        own[r[label]] = own.get(r[label], 0) + r["n"]
+        stats.classes = classes
+        for c, r in own:
+            if c in stats.modes and r["k"] is not None:
+                value = stats.modes[c] if r["value"] is None else r["value"]
+                counts = stats.class_counts.setdefault((c, value, r["inner"]), {})
+                counts[r["k"]] = counts.get(r["k"], 0) + r["rows"]
