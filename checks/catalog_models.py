@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks import catalog as cat
@@ -136,21 +137,47 @@ for _id, _name in (("i1_logistic", "LogisticRegression"), ("i2_decision_tree", "
         return _holdout(spark, sf, name).summary
 
 
+REGRESSION_NUMBERS = ["age", "annual_income", "monthly_salary", "utilization", "emi", "invested", "num_delayed"]
+
+
 def _regression_vectors(spark, sf):
     df = features.drop_missing(dom(spark, sf), ["balance"])
-    numeric = ["age", "annual_income", "monthly_salary", "utilization", "emi", "invested", "num_delayed"]
-    fitted = prep.fit_stats(df, numeric, [], scalers=("robust",))[WHOLE].prep("robust")
+    fitted = prep.fit_stats(df, REGRESSION_NUMBERS, [], scalers=("robust",))[WHOLE].prep("robust")
     return fitted.vectors(df.withColumn("y", F.col("balance")), ["y"])
 
 
 @register("i5_ridge")
 def i5(spark, sf):
-    return _coefficients(spark, models.fit_ridge(_regression_vectors(spark, sf).persist()))
-
-
-def _coefficients(spark, model):
-    rows = [(i, float(v)) for i, v in enumerate([*model.coefficients, model.intercept])]
-    return spark.createDataFrame(rows, "position int, value double")
+    """The coefficients of all numbers and one-hot categories, class label apart."""
+    work = features.drop_missing(prepared(spark, sf), ["balance"]).drop(S.label)
+    numeric, categorical = features.split_features(work, S, "balance")
+    fitted = prep.fit_stats(work, numeric, categorical, scalers=("robust",))[WHOLE].prep("robust", "onehot")
+    model = models.fit_ridge(fitted.vectors(work.withColumn("y", F.col("balance").cast("double")), ["y"]))
+    rows = list(zip([*fitted.output_columns(), "intercept"], [float(v) for v in [*model.coefficients, model.intercept]]))
+    return spark.createDataFrame(rows, "feature string, value double")
+
+
+def _equations_sql() -> str:
+    filled = ", ".join(f"coalesce(CAST({c} AS DOUBLE), (SELECT quantile_cont({c}, 0.5) FROM d)) AS {c}" for c in REGRESSION_NUMBERS)
+    tables = q.with_(**q.DOMAIN, d="SELECT * FROM dom WHERE balance IS NOT NULL", imp=f"SELECT CAST(balance AS DOUBLE) AS y, {filled} FROM d")
+    width = "coalesce(nullif(quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25), 0), 1)"
+    cells = [f"SELECT '{c}' AS feature, {q.r(f'(covar_pop({c}, y) / {width.format(c=c)})', 4)} AS value FROM imp" for c in REGRESSION_NUMBERS]
+    return tables + " UNION ALL ".join(cells)
+
+
+@register("i5_ridge_equations", _equations_sql())
+def i5_equations(spark, sf):
+    """The left side of the normal equations at the fitted coefficients; only their solution gives the right side, which SQL counts."""
+    vectors, alpha = _regression_vectors(spark, sf), 1.0
+    model = models.fit_ridge(vectors, alpha=alpha)
+    told = model.transform(vectors).select("prediction", vector_to_array("features").alias("x"))
+    size = len(REGRESSION_NUMBERS)
+    sums = told.agg(F.count("*").alias("n"), *[F.covar_pop(F.get("x", F.lit(i)), "prediction").alias(f"s{i}") for i in range(size)])
+    cells = [
+        F.struct(F.lit(c).alias("feature"), (F.col(f"s{i}") + F.lit(alpha * float(model.coefficients[i])) / F.col("n")).alias("value"))
+        for i, c in enumerate(REGRESSION_NUMBERS)
+    ]
+    return rounded(sums.select(F.inline(F.array(*cells))), 4)
 
 
 @register("i6_boosted_regressor")

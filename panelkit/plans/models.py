@@ -14,6 +14,7 @@ from panelkit.plans.boosting import SoftmaxBoosting
 
 SEED = 42
 DEEPEST = 30  # the deepest tree Spark grows; stands for 'no limit'
+NORMAL_FEATURES = 4_096  # the most that Spark's normal equations take
 TREE = {"maxBins": 64, "maxMemoryInMB": 1024, "seed": SEED}
 
 # The parameters each model starts from.
@@ -88,11 +89,20 @@ def fit_classifier(spec: ModelSpec, train: DataFrame, classes: int):
 
 
 def fit_ridge(train: DataFrame, label: str = "y", alpha: float = 1.0):
-    """Ridge regression. Spark scales the label by its deviation before it applies the penalty."""
-    stats = train.agg(F.count("*").alias("n"), F.stddev_samp(label).alias("s")).first()
+    """Ridge regression from one pass over the rows: sums of products, then a Cholesky solution on the driver.
+
+    The sums are features squared numbers, so beyond NORMAL_FEATURES an iterative solver takes over. Spark scales the label by
+    its deviation (of the population in the first, of a sample in the second) before it applies the penalty.
+    """
+    stats = train.agg(F.count("*").alias("n"), F.stddev_pop(label).alias("s"), F.stddev_samp(label).alias("t")).first()
+    first = train.select("features").first()
+    if first is None:
+        raise ValueError("no rows to fit")
+    common = {"featuresCol": "features", "labelCol": label, "elasticNetParam": 0.0, "standardization": False}
+    if first["features"].size <= NORMAL_FEATURES:
+        return LinearRegression(**common, solver="normal", regParam=alpha * (stats["s"] or 1.0) / stats["n"]).fit(train)
     return LinearRegression(
-        featuresCol="features", labelCol=label, elasticNetParam=0.0, standardization=False,
-        solver="l-bfgs", maxIter=1000, tol=1e-9, regParam=alpha * (stats["s"] or 1.0) / stats["n"],
+        **common, solver="l-bfgs", maxIter=1000, tol=1e-9, regParam=alpha * (stats["t"] or 1.0) / stats["n"]
     ).fit(train)
 
 

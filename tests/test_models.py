@@ -103,16 +103,35 @@ def test_smote(spark):
     assert sorted(map(tuple, out["x"])) == sorted(map(tuple, again["x"]))
 
 
-def test_ridge_is_the_closed_form(spark):
+def test_ridge_is_the_closed_form(spark, monkeypatch):
     g = np.random.default_rng(8)
     x = g.normal(size=(120, 4))
     y = x @ [1.0, -2.0, 0.5, 3.0] + 7 + g.normal(size=120)
     rows = [(float(v), list(map(float, r))) for v, r in zip(y, x)]
     df = spark.createDataFrame(rows, "y double, x array<double>").select("y", array_to_vector("x").alias("features"))
-    model = models.fit_ridge(df, alpha=5.0)
+    fitted = {}
+    for most in (4_096, 3):
+        # by normal equations to the last digits, beyond their limit by iterations
+        monkeypatch.setattr(models, "NORMAL_FEATURES", most)
+        fitted[most] = models.fit_ridge(df, alpha=5.0)
     centred = x - x.mean(0)
     wanted = np.linalg.solve(centred.T @ centred + 5.0 * np.eye(4), centred.T @ (y - y.mean()))
-    assert model.coefficients.toArray() == pytest.approx(wanted, abs=1e-5)
+    assert fitted[4_096].coefficients.toArray() == pytest.approx(wanted, abs=1e-9)
+    assert fitted[4_096].intercept == pytest.approx(y.mean() - x.mean(0) @ wanted, abs=1e-9)
+    assert fitted[3].coefficients.toArray() == pytest.approx(wanted, abs=1e-5)
+
+
+def test_ridge_of_constant_and_equal_columns(spark):
+    """Penalised, a column that says nothing or the same as another has one solution."""
+    g = np.random.default_rng(9)
+    x = g.normal(size=(80, 1))
+    x = np.hstack([x, x, np.full((80, 1), 3.0)])
+    y = 4 * x[:, 0] + 1
+    df = spark.createDataFrame([(float(v), list(map(float, r))) for v, r in zip(y, x)], "y double, x array<double>")
+    found = models.fit_ridge(df.select("y", array_to_vector("x").alias("features")), alpha=2.0).coefficients.toArray()
+    centred = x - x.mean(0)
+    wanted = np.linalg.solve(centred.T @ centred + 2.0 * np.eye(3), centred.T @ (y - y.mean()))
+    assert found == pytest.approx(wanted, abs=1e-6)
 
 
 def test_boosting_learns_three_classes(spark, monkeypatch):
