@@ -214,6 +214,21 @@ def d3(spark, sf):
     return labels.label_dictionary(panel(spark, sf), S)
 
 
+@register("d2_label_vectors", W(**q.PANEL) + f"SELECT DISTINCT row_id, unnest({q.TOKENIZED}) AS label FROM panel WHERE loan_types IS NOT NULL")
+def d2_vectors(spark, sf):
+    vectors, vocabulary = labels.label_vectors(panel(spark, sf).select("row_id", S.multilabel), S)
+    return labels.vector_labels(vectors, "label_vector", vocabulary)
+
+
+@register("d2_many_labels", "SELECT DISTINCT l_orderkey, CAST(l_partkey AS VARCHAR) AS label FROM lineitem WHERE l_partkey IS NOT NULL")
+def d2_many(spark, sf):
+    """More labels than there may be columns: the parts of each order, listed in one cell."""
+    parts = spark.read.parquet(f"{sf}/lineitem.parquet").groupBy("l_orderkey").agg(F.collect_list(F.col("l_partkey").cast("string")).alias("parts"))
+    cells = parts.select("l_orderkey", F.array_join("parts", ", ").alias(S.multilabel))
+    vectors, vocabulary = labels.label_vectors(cells, S)
+    return labels.vector_labels(vectors, "label_vector", vocabulary)
+
+
 # --- profile ----------------------------------------------------------------
 @register(
     "e1_target_distribution",

@@ -1,7 +1,8 @@
-"""Multi-label cells: tokens, dictionary, 0/1 columns."""
+"""Multi-label cells: tokens, dictionary, 0/1 columns, sparse 0/1 vectors."""
 
 from __future__ import annotations
 
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from panelkit.functions import label_tokens
 from panelkit.spec import PanelSpec
 
 MAX_LABELS = 1_000
+VOCABULARY_BYTES = 64 << 20  # of all labels together, which every task holds
 
 
 def tokenize_labels(df: DataFrame, spec: PanelSpec, output: str = "labels") -> DataFrame:
@@ -49,3 +51,33 @@ def encode_multilabel(
         for label in labels
     }
     return tagged.withColumns(flags).drop("__labels", spec.multilabel), labels
+
+
+def fit_vocabulary(df: DataFrame, spec: PanelSpec) -> list[str]:
+    """All labels, sorted: the places of a label vector. Their bytes are summed before they are brought together."""
+    found = label_dictionary(df, spec).select("label")
+    size = found.agg(F.sum(F.octet_length("label") + 16)).first()[0] or 0
+    if size > VOCABULARY_BYTES:
+        raise ValueError(f"the labels of {spec.multilabel} take {size} bytes, more than {VOCABULARY_BYTES}")
+    return sorted(r.label for r in found.collect())
+
+
+def label_vectors(df: DataFrame, spec: PanelSpec, vocabulary: list[str] | None = None, output: str = "label_vector") -> tuple[DataFrame, list[str]]:
+    """Replaces the multi-label column by a sparse vector of zeros and ones, and returns its places.
+
+    One column for any number of labels, made without a shuffle. A label that stands twice in a cell counts once, an unknown one
+    not at all; a null or empty cell is a vector of zeros. Without any label the vector has one place, which stays zero.
+    """
+    vocabulary = fit_vocabulary(df, spec) if vocabulary is None else vocabulary
+    # the model takes no empty vocabulary; no token is empty, so nothing is ever counted at this place
+    model = CountVectorizerModel.from_vocabulary(vocabulary or [""], inputCol="__labels", outputCol=output, binary=True)
+    tokens = F.coalesce(label_tokens(F.col(spec.multilabel)), F.array().cast("array<string>"))
+    return model.transform(df.withColumn("__labels", tokens)).drop("__labels", spec.multilabel), vocabulary
+
+
+def vector_labels(df: DataFrame, vector: str, vocabulary: list[str]) -> DataFrame:
+    """The way back: one row per row of ``df`` and label in its vector (column ``label``), without the vector."""
+    places = F.udf(lambda v: [int(i) for i in v.indices], "array<int>")
+    # as many rows as labels, whose bytes fit_vocabulary has checked
+    named = df.sparkSession.createDataFrame(list(enumerate(vocabulary)), "__place int, label string")
+    return df.withColumn("__place", F.explode(places(vector))).drop(vector).join(F.broadcast(named), "__place").drop("__place")
