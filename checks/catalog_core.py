@@ -130,6 +130,7 @@ def b16(spark, sf):
 # --- windows and labels -----------------------------------------------------
 FILL_COLUMNS = [*q.NUMBERS, *q.TEXTS]
 FEW_ROWS = 8  # of an entity, from which it is cut into stretches: most entities here are then 'hot'
+STRETCH = 250  # rows of a stretch, which is a task and a file: with FEW_ROWS of them most tasks would be their start
 
 
 def _fill_sql(forward: bool) -> str:
@@ -158,13 +159,13 @@ def c3(spark, sf):
 @register("c1_forward_fill_in_stretches", _fill_sql(True))
 def c1_stretches(spark, sf):
     df = dom(spark, sf).select("row_id", "customer_id", "as_of", *FILL_COLUMNS)
-    filled = impute.forward_fill(df, S, FILL_COLUMNS, hot_rows=FEW_ROWS).select("row_id", *FILL_COLUMNS)
+    filled = impute.forward_fill(df, S, FILL_COLUMNS, FEW_ROWS, STRETCH).select("row_id", *FILL_COLUMNS)
     return rounded(filled, only=["monthly_salary", "utilization", "emi"])
 
 
 @register("c3_entity_fill_in_stretches", W(**q.FILLED) + f"SELECT * REPLACE ({ROUNDED}) FROM fill")
 def c3_stretches(spark, sf):
-    return rounded(impute.group_impute(dom(spark, sf), S, hot_rows=FEW_ROWS), only=["monthly_salary", "utilization", "emi"])
+    return rounded(impute.group_impute(dom(spark, sf), S, FEW_ROWS, STRETCH), only=["monthly_salary", "utilization", "emi"])
 
 
 def _one_entity_sql() -> str:

@@ -21,7 +21,7 @@ from panelkit.spec import PanelSpec
 
 HOT_ROWS = 2_000_000
 MAX_HOT = 50_000
-CUTS = 2  # stretches per ``hot_rows`` rows: they come from a sample and are even to about a tenth
+CUTS = 2  # stretches per ``hot_rows`` rows, unless ``stretch_rows`` says how many rows one holds
 
 
 def fillable_columns(df: DataFrame, spec: PanelSpec) -> list[str]:
@@ -32,27 +32,31 @@ def fillable_columns(df: DataFrame, spec: PanelSpec) -> list[str]:
     ]
 
 
-def forward_fill(df: DataFrame, spec: PanelSpec, columns: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def forward_fill(
+    df: DataFrame, spec: PanelSpec, columns: Sequence[str], hot_rows: int = HOT_ROWS, stretch_rows: int | None = None
+) -> DataFrame:
     """Missing cells take the entity's last value before them."""
-    return _fill(df, spec, columns, backward=False, hot_rows=hot_rows)
+    return _fill(df, spec, columns, False, hot_rows, stretch_rows)
 
 
-def fill_both(df: DataFrame, spec: PanelSpec, columns: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def fill_both(
+    df: DataFrame, spec: PanelSpec, columns: Sequence[str], hot_rows: int = HOT_ROWS, stretch_rows: int | None = None
+) -> DataFrame:
     """Missing cells take the last value before them, or else the first one after."""
-    return _fill(df, spec, columns, backward=True, hot_rows=hot_rows)
+    return _fill(df, spec, columns, True, hot_rows, stretch_rows)
 
 
-def group_impute(df: DataFrame, spec: PanelSpec, hot_rows: int = HOT_ROWS) -> DataFrame:
+def group_impute(df: DataFrame, spec: PanelSpec, hot_rows: int = HOT_ROWS, stretch_rows: int | None = None) -> DataFrame:
     """Fills every numeric and text column within the entity; unchanged if there is no entity column.
 
     Rows without an entity stay as they are.
     """
     if spec.entity not in df.columns:
         return df
-    return fill_both(df, spec, fillable_columns(df, spec), hot_rows)
+    return fill_both(df, spec, fillable_columns(df, spec), hot_rows, stretch_rows)
 
 
-def hot_entities(df: DataFrame, spec: PanelSpec, hot_rows: int = HOT_ROWS) -> tuple[list[tuple], int]:
+def hot_entities(df: DataFrame, spec: PanelSpec, hot_rows: int = HOT_ROWS, stretch_rows: int | None = None) -> tuple[list[tuple], int]:
     """Entities with more than ``hot_rows`` rows, their rows, and the number of stretches to deal them to.
 
     Only the entity column is read, and counted map-side first. The limit
@@ -64,7 +68,7 @@ def hot_entities(df: DataFrame, spec: PanelSpec, hot_rows: int = HOT_ROWS) -> tu
     if (total[1] or 0) <= limit:
         return [], 0
     hot = [tuple(r) for r in sizes.where(F.col("rows") > limit).collect()]
-    return hot, -(-CUTS * sum(rows for _, rows in hot) // limit)
+    return hot, -(-sum(rows for _, rows in hot) // (stretch_rows or max(1, limit // CUTS)))
 
 
 def _order(df: DataFrame, spec: PanelSpec) -> list[str]:
@@ -72,9 +76,11 @@ def _order(df: DataFrame, spec: PanelSpec) -> list[str]:
     return [*spec.order, *(c for c in spec.present(df, [spec.row_id]) if c not in spec.order)]
 
 
-def _fill(df: DataFrame, spec: PanelSpec, columns: Sequence[str], backward: bool, hot_rows: int) -> DataFrame:
+def _fill(
+    df: DataFrame, spec: PanelSpec, columns: Sequence[str], backward: bool, hot_rows: int, stretch_rows: int | None
+) -> DataFrame:
     columns = list(columns)
-    hot, stretches = hot_entities(df, spec, hot_rows)
+    hot, stretches = hot_entities(df, spec, hot_rows, stretch_rows)
     if not hot:
         return _fill_plain(df, spec, columns, backward)
     # at most MAX_HOT rows, see hot_entities
