@@ -471,6 +471,17 @@ def f5(spark, sf):
     return charts.category_bars(panel(spark, sf), S.profile_categorical)
 
 
+@register(
+    "f5_many_categories",
+    "SELECT *, CAST(row_number() OVER (PARTITION BY \"column\" ORDER BY count DESC, value) AS INT) AS position FROM ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS count FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c}" for c in ("l_orderkey", "l_partkey"))
+    + ") AS t",
+)
+def f5_many(spark, sf):
+    """Bars of columns whose categories grow with the table."""
+    return charts.category_bars(spark.read.parquet(f"{sf}/lineitem.parquet"), ["l_orderkey", "l_partkey"])
+
+
 PLACE = "CAST(CASE score WHEN 'Poor' THEN 0 WHEN 'Standard' THEN 1 ELSE 2 END AS BIGINT)"
 
 

@@ -13,6 +13,7 @@ from panelkit.operators import metrics, reshape
 from panelkit.operators.clean import clean_data
 from panelkit.operators.profile import correlation_matrix, target_distribution
 from panelkit.operators.quantiles import exact_quantiles, with_limits
+from panelkit.session import written
 from panelkit.spec import OUTLIER_MODES, PanelSpec, string_columns
 
 STRATEGY_ORDER = ("none", "class_weight", "smote")
@@ -125,9 +126,17 @@ def category_bars(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     counts = (
         df.select(F.inline(F.array_compact(F.array(*cells)))).groupBy("column", "value").agg(F.count("*").alias("count"))
     )
-    # one row per category, already counted
-    order = W.partitionBy("column").orderBy(F.desc("count"), "value")
-    return counts.withColumn("position", F.row_number().over(order))
+    # ranges of the bars' order are ranked by themselves, so a column of many categories is no single task
+    dealt, _ = written(
+        counts.repartitionByRange("column", F.desc("count"), "value").withColumn("__range", F.spark_partition_id()), "bars"
+    )
+    earlier = W.partitionBy("column").orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    # one row per range and column
+    sizes = dealt.groupBy("column", "__range").agg(F.count("*").alias("__n"))
+    offsets = sizes.select("column", "__range", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    order = W.partitionBy("column", "__range").orderBy(F.desc("count"), "value")
+    ranked = dealt.withColumn("__place", F.row_number().over(order)).join(F.broadcast(offsets), ["column", "__range"])
+    return ranked.select("column", "value", "count", (F.col("__before") + F.col("__place")).cast("int").alias("position"))
 
 
 def outlier_bars(board: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import hashlib
 import itertools
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -177,3 +178,20 @@ def test_silhouettes_of_one_cluster(spark):
     assert cluster_scores.euclidean_silhouette(df.limit(0), "k", ["a"], "id").first()[0] is None
     two = spark.createDataFrame([(1, "a", 1.0), (2, "b", 1.0), (3, "a", 1.0)], "id long, k string, a double")
     assert cluster_scores.euclidean_silhouette(two, "k", ["a"], "id").first()[0] == 0.0
+
+
+def test_category_bars_are_ranked_over_all_ranges(spark):
+    """Many categories, ties, one that holds a third of the rows, a column without values."""
+    g = np.random.default_rng(3)
+    values = [None if x < 0.1 else "hot" if x < 0.43 else f"v{int(v)}" for x, v in zip(g.random(4000), g.integers(0, 1500, 4000))]
+    df = spark.createDataFrame([(v, None, i % 3) for i, v in enumerate(values)], "a string, none string, b int").repartition(6)
+    got = charts.category_bars(df, ["a", "none", "b"])
+    assert got.columns == ["column", "value", "count", "position"]
+    sizes = {"a": Counter(v for v in values if v is not None), "b": Counter(str(i % 3) for i in range(4000))}
+    wanted = {
+        (c, v, n, place)
+        for c, own in sizes.items()
+        for place, (v, n) in enumerate(sorted(own.items(), key=lambda item: (-item[1], item[0])), 1)
+    }
+    assert set(map(tuple, got.collect())) == wanted
+    assert charts.category_bars(df.limit(0), ["a"]).count() == 0
