@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from panelkit.llm.common import blocks, id_and_text
 
 TRAIN_DOCS = 12_000  # labelled texts that the classifier is fitted on: those with the smallest id hashes
-MODEL_FEATURES = 5_000  # features with a weight, the surest first
 STEM = 5  # letters of the feature that inflected forms share
 MIN_SUPPORT = 4  # distinct left neighbours in toxic texts
 THRESHOLD = 0.7
@@ -36,7 +35,6 @@ LOOKALIKES = {
 }
 _SWAP_COST, _DROP_COST, _RUN_COST = 0.7, 0.5, 0.5  # negative log probabilities in the channel
 _BREAK_COST = 0.5  # of a word's end inside a run
-WINDOW = 80  # bytes decoded at once; what is longer is decoded in windows that overlap by half
 _ORDER = 4  # characters of the model's n-grams: a table of 32^4 counts whatever the corpus
 #: Character classes: 0 for the edge of a word, 1-26 for letters, 27 for bytes of other letters.
 _CLASS = np.array([b - 96 if 97 <= b <= 122 else b - 64 if 65 <= b <= 90 else 27 if b >= 0x80 else 0 for b in range(256)], np.int64)
@@ -48,7 +46,7 @@ _SPELT = re.compile(rb"(?:[a-z0-9@$!|+]|[\xc0-\xff][\x80-\xbf]+)(?:[.\-_*~/,](?:
 _GAPS = re.compile(rb"[.\-_*~/,]")
 _MIXED = re.compile(rb"[0-9@$!|+(<]*[a-z\x80-\xff][a-z0-9@$!|+(<\x80-\xff]*")
 _ONE_SIGN = re.compile(rb"[\xc0-\xff][\x80-\xbf]{1,3}")
-_LONG_RUN = re.compile(rb"([a-z])\1{4,}")
+_SAME = {b: re.compile(bytes([b]) + b"+") for b in range(97, 123)}
 _SIGNS = re.compile(rb"[0-9@$!|+(<]")
 _SINGLES = re.compile(rb"\x01{3,}")
 
@@ -83,106 +81,132 @@ def character_model(counts: DataFrame) -> np.ndarray:
     return -np.log(chance).astype(np.float32)
 
 
-def restore(token: bytes, costs: np.ndarray, breaks: bool = False) -> bytes:
-    """The most likely word behind a disguised token (lower case): Viterbi over its character lattice. With `breaks` a word
-    may end at every place, and the words are returned with spaces between them."""
-    states: list[dict[tuple[int, int, int], tuple[float, bytes]]] = [{} for _ in range(len(token) + 1)]
-    states[0][(0, 0, 0)] = (0.0, b"")
-    for at in range(len(token)):
-        if not states[at]:
-            continue
-        sign = token[at : at + 1]
-        edges: list[tuple[int, bytes, float]] = []  # (next position, letters, cost)
-        if 97 <= token[at] <= 122:
-            end = at
-            while end < len(token) and token[end] == token[at]:
-                end += 1
-            edges.append((at + 1, sign, 0.0))
-            if end - at > 1 and (at == 0 or token[at - 1] != token[at]):
-                paid = _RUN_COST if end - at > 2 else 5 * _RUN_COST  # many words have a letter twice
-                edges += [(end, sign, paid), (end, sign * 2, paid)]
-        elif token[at] >= 0x80:
-            edges.append((at + 1, sign, 0.0))
-        else:
-            edges += [(at + 1, bytes([letter]), _SWAP_COST) for letter in LOOKALIKES.get(sign, b"")]
-            edges.append((at + 1, b"", _DROP_COST + (6.0 if sign in LOOKALIKES else 0.0)))
-        for (a, b, c), (cost, word) in states[at].items():
-            for target, letters, price in edges:
-                x, y, z, total = a, b, c, cost + price
-                for letter in letters:
-                    code = int(_CLASS[letter])
-                    total += float(costs[x, y, z, code])
-                    x, y, z = y, z, code
-                readings = [((x, y, z), total, word + letters)]
-                if breaks and z and target < len(token):
-                    readings.append(((y, z, 0), total + float(costs[x, y, z, 0]) + _BREAK_COST, word + letters + b" "))
-                for state, paid, read in readings:
-                    old = states[target].get(state)
-                    if old is None or (paid, read) < old:
-                        states[target][state] = (paid, read)
-        if len(states[at + 1]) > 64:  # look-alikes have one or two readings, so only long runs of signs come here
-            states[at + 1] = dict(sorted(states[at + 1].items(), key=lambda item: item[1])[:64])
-    return min((cost + float(costs[x, y, z, 0]), word) for (x, y, z), (cost, word) in states[-1].items())[1]
-
-
-def _windows(run: bytes) -> Iterator[bytes]:
-    """The run, or windows of it such that every part of half a window stands whole in one; characters are not cut."""
-    at = 0
-    while True:
-        yield run[at : at + WINDOW]
-        if at + WINDOW >= len(run):
-            return
-        at += WINDOW // 2
-        while at < len(run) and 0x80 <= run[at] < 0xC0:
-            at += 1
-
-
-def _run_words(run: bytes, costs: np.ndarray) -> Iterator[bytes]:
-    """Words of a run of signs without gaps, each window with and without ends of words inside."""
-    for part in _windows(run):
-        if len(run) <= WINDOW:
-            yield restore(part, costs)
-        yield from restore(part, costs, breaks=True).split()
-
-
-def _token_words(core: bytes, costs: np.ndarray) -> Iterator[bytes]:
-    """Words of a disguised token. Beyond a window, letters are put down to four in a row first: more say no more."""
+class Decoder:
+    """Viterbi decoding of character lattices under a character model, of any length and over all states.
+
+    A state is the last three characters; a reading is a chain of pieces, so readings share what they have in common and those
+    that are given up take no memory. A state is left out where another one of its place is ahead by more than it can ever
+    lose: contexts differ for three characters at most, and the most that each of them can make up is known from the model.
+    That never changes the reading found.
+    """
+
+    def __init__(self, table: np.ndarray) -> None:
+        self.table = table
+        used = np.asarray(table, np.float64)[:28, :28, :28, :28]
+        third = (used - used.min(axis=(0, 1, 2))).max(axis=3)
+        second = (used - used.min(axis=(0, 1))).max(axis=(2, 3))
+        first = (used - used.min(axis=0)).max(axis=(1, 2, 3))
+        slack = np.zeros((32, 32, 32))
+        slack[:28, :28, :28] = third + second[None] + first[None, None] + 1e-3  # sums are rounded
+        self.costs = memoryview(np.ascontiguousarray(table, np.float32).ravel())
+        self.slack = memoryview(slack.ravel())
+
+    def __reduce__(self):
+        return Decoder, (self.table,)
+
+    def read(self, token: bytes, breaks: bool = False) -> bytes:
+        """The most likely word behind a disguised token (lower case). With `breaks` a word may end at every place, and the
+        words are returned with spaces between them. Of equally likely readings the one that is met first holds."""
+        costs, slack, last = self.costs, self.slack, len(token)
+        waiting: dict[int, dict[int, tuple]] = {0: {0: (0.0, None)}}
+        for at in range(last):
+            here = waiting.pop(at)
+            edges = [(waiting.setdefault(end, {}), end < last, letters, _CLASS[list(letters)].tolist(), price) for end, letters, price in _edges(token, at)]
+            limit = min(cost + slack[state] for state, (cost, _) in here.items()) if len(here) > 4 else math.inf
+            for state, (cost, chain) in here.items():
+                if cost > limit:
+                    continue
+                for then, inside, letters, codes, price in edges:
+                    to, total = state, cost + price
+                    for code in codes:
+                        total += costs[to << 5 | code]
+                        to = (to & 1023) << 5 | code
+                    old = then.get(to)
+                    if old is None or total < old[0]:
+                        then[to] = (total, (letters, chain) if letters else chain)
+                    if breaks and inside and to & 31:
+                        total += costs[to << 5] + _BREAK_COST
+                        to = (to & 1023) << 5
+                        old = then.get(to)
+                        if old is None or total < old[0]:
+                            then[to] = (total, (letters + b" ", chain))
+        chain = min((cost + costs[state << 5], state, chain) for state, (cost, chain) in waiting[last].items())[2]
+        pieces = []
+        while chain:
+            piece, chain = chain
+            pieces.append(piece)
+        return b"".join(reversed(pieces))
+
+
+def _edges(token: bytes, at: int) -> list[tuple[int, bytes, float]]:
+    """(next place, letters, cost) of what the sign at a place may stand for."""
+    sign = token[at : at + 1]
+    if token[at] >= 0x80:
+        return [(at + 1, sign, 0.0)]
+    if not 97 <= token[at] <= 122:
+        swapped = [(at + 1, bytes([letter]), _SWAP_COST) for letter in LOOKALIKES.get(sign, b"")]
+        return [*swapped, (at + 1, b"", _DROP_COST + (6.0 if sign in LOOKALIKES else 0.0))]
+    edges = [(at + 1, sign, 0.0)]
+    if token[at + 1 : at + 2] == sign and (at == 0 or token[at - 1 : at] != sign):
+        end = _SAME[token[at]].match(token, at).end()
+        paid = _RUN_COST if end - at > 2 else 5 * _RUN_COST  # many words have a letter twice
+        edges += [(end, sign, paid), (end, sign * 2, paid)]
+    return edges
+
+
+def restore(token: bytes, costs: np.ndarray | Decoder, breaks: bool = False) -> bytes:
+    """Decoder.read() with the decoder of a character model."""
+    return _decoder(costs).read(token, breaks)
+
+
+def _decoder(costs: np.ndarray | Decoder) -> Decoder:
+    return costs if isinstance(costs, Decoder) else Decoder(costs)
+
+
+def _token_words(core: bytes, decoder: Decoder) -> Iterator[bytes]:
+    """Words of a disguised token, of any length: the token as one word, and what is spelt out also with ends of words inside."""
+    yield decoder.read(core)
     if _SPELT.fullmatch(core):
-        if len(core) <= WINDOW:
-            yield restore(core, costs)
-        yield from _run_words(_GAPS.sub(b"", core), costs)
-        return
-    if len(core) > WINDOW:
-        core = _LONG_RUN.sub(rb"\1\1\1\1", core)
-    if len(core) <= WINDOW:
-        yield restore(core, costs)
-    else:
-        yield from _run_words(core, costs)
-
-
-def restored_words(text: bytes, costs: np.ndarray) -> list[bytes]:
-    """Words (letters only, lower case) that disguised tokens of a text stand for."""
-    lower = text.translate(_LOWER)
-    tokens = lower.split()
-    found = []
+        yield from decoder.read(_GAPS.sub(b"", core), breaks=True).split()
+
+
+def _disguised(token: bytes) -> list[bytes]:
+    """What to decode of a token: nothing, its core, or also the core with the signs at its ends that may be letters."""
+    if token.isalpha() and not _STRETCHED.search(token):
+        return []
+    core, tight = token.strip(_EDGES), token.strip(b".,;:?\"'")
+    if not core or core.isalpha() and not _STRETCHED.search(core):
+        # a word with signs around it; a sign at its end may still stand for a letter
+        return [tight] if _MIXED.fullmatch(tight) and _SIGNS.search(tight) else []
+    if _SPELT.fullmatch(core) or _STRETCHED.search(core) or _MIXED.fullmatch(core) and _SIGNS.search(core):
+        return [core, tight] if tight != core and _MIXED.fullmatch(tight) else [core]
+    return []
+
+
+def restored(text: bytes, costs: np.ndarray | Decoder) -> Iterator[tuple[bytes, bytes]]:
+    """(token before, word): words (letters only, lower case) that disguised tokens of a text stand for, once for each
+    different token before them."""
+    decoder = _decoder(costs)
+    tokens = text.translate(_LOWER).split()
+    words = {}
     for token in set(tokens):
-        if token.isalpha() and not _STRETCHED.search(token):
-            continue
-        core = token.strip(_EDGES)
-        if not core or core.isalpha() and not _STRETCHED.search(core):
-            # a word with signs around it; a sign at its end may still stand for a letter
-            core = token.strip(b".,;:?\"'")
-            if not _MIXED.fullmatch(core) or not _SIGNS.search(core):
-                continue
-        if _SPELT.fullmatch(core) or _STRETCHED.search(core) or _MIXED.fullmatch(core) and _SIGNS.search(core):
-            found += _token_words(core, costs)
-            tight = token.strip(b".,;:?\"'")
-            if tight != core and _MIXED.fullmatch(tight):
-                found += _token_words(tight, costs)
+        if parts := _disguised(token):
+            words[token] = list(dict.fromkeys(w for part in parts for w in _token_words(part, decoder)))
+    if words:
+        for left, token in dict.fromkeys(pair for pair in zip([b"", *tokens], tokens, strict=False) if pair[1] in words):
+            yield from ((left, word) for word in words[token])
     # letters spelt out with spaces: three or more tokens of one sign in a row
     for match in _SINGLES.finditer(bytes(1 if len(t) == 1 or t[0] >= 0xC0 and _ONE_SIGN.fullmatch(t) else 2 for t in tokens)):
-        found += _run_words(b"".join(tokens[match.start() : match.end()]), costs)
-    return found
+        run, left = b"".join(tokens[match.start() : match.end()]), tokens[match.start() - 1] if match.start() else b""
+        yield left, decoder.read(run)
+        for word in decoder.read(run, breaks=True).split():
+            yield left, word
+            left = word
+
+
+def restored_words(text: bytes, costs: np.ndarray | Decoder) -> list[bytes]:
+    """The different words of restored()."""
+    return list(dict.fromkeys(word for _, word in restored(text, costs)))
 
 
 def _feature(word: bytes) -> int:
@@ -202,8 +226,11 @@ class Model:
     weights: dict[int, float]
     curve: np.ndarray  # constant, and factors of the strongest and second strongest weight
 
+    def __post_init__(self) -> None:
+        self.decoder = Decoder(self.costs)
+
     def inputs(self, text: bytes) -> tuple[float, float]:
-        words = {*text.translate(_PLAIN).split(), *restored_words(text, self.costs)}
+        words = {*text.translate(_PLAIN).split(), *restored_words(text, self.decoder)}
         get = self.weights.get
         by_word = []
         for word in words:
@@ -230,8 +257,9 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return beta
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fits on rows of `labels` (doc_id, toxic); which rows those are is the caller's choice.
+def train(docs: DataFrame, labels: DataFrame, features: int | None = None) -> Model:
+    """Fits on rows of `labels` (doc_id, toxic); which rows those are is the caller's choice. `features`: how many features may
+    have a weight, the surest first; None means all that pass.
 
     The character model counts every text of `docs`. Labels that are null, or whose id is null or not in `docs`, are left
     out; of several labels of an id the largest holds. Without any usable label every score is 0.5.
@@ -239,6 +267,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     marked = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS)
     costs = character_model(character_counts(docs))
+    decoder = Decoder(costs)
     texts = id_and_text(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")  # at most TRAIN_DOCS rows
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,9 +286,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                             if len(word) >= STEM:
                                 rows.add((_feature(word[:STEM] + b"*"), context, label))
                         left = word
-                    for word in restored_words(text, costs):
+                    for left, word in restored(text, decoder):
                         for feature in _features({word}):
-                            rows.add((_feature(feature), hash_of(text[:64]), label))
+                            rows.add((_feature(feature), hash_of(left), label))
                 done += len(part)
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int32()), strict=True)], ["feature", "context", "toxic"])
@@ -272,7 +301,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     # lower end of the interval (1.64 deviations) of the share of toxic texts
     share, z = F.col("bad") / F.col("n"), 1.64
     low = (share + z * z / (2 * F.col("n")) - z * F.sqrt(share * (1 - share) / F.col("n") + z * z / (4 * F.col("n") * F.col("n")))) / (1 + z * z / F.col("n"))
-    kept = counts.withColumn("low", low).where(F.col("low") > 0.5).orderBy(F.desc("low"), "feature").limit(MODEL_FEATURES)
+    kept = counts.withColumn("low", low).where(F.col("low") > 0.5)
+    if features is not None:
+        kept = kept.orderBy(F.desc("low"), "feature").limit(features)
     model = Model(costs, {r["feature"]: float(r["low"]) for r in kept.collect()}, np.zeros(3))
     sample = np.array([(r["first"], r["second"], r["toxic"]) for r in _inputs(texts, model).collect()], float).reshape(-1, 3)
     if len(sample):
