@@ -1,10 +1,11 @@
 """Line dedup across the corpus by a deletion-neighbourhood join, in DataFrame operations only.
 
-Lines are sequences of words. Two lines are within the bound of one word edit if and only if they are equal after
-deleting at most one word from each, at the same place; so a line emits one hashed key for every deletion, and one for
-every place where another line may have a word more, and equal keys meet. Only lines that agree with a different line on
-their first or last words can be within the bound, which is asked first. What meets is verified on the words. A line goes
-if an earlier line of the corpus is equal or within the bound; equal means equal but for blanks at its ends.
+Lines are sequences of units: words, or characters where a line has few words. Two lines of one kind are within the bound of
+one edit if and only if they are equal after deleting at most one unit from each, at the same place; so a line emits one
+hashed key for every deletion, and one for every place where another line may have a unit more, and equal keys meet. Only
+lines that agree with a different line on their first or last units can be within the bound, which is asked first. What
+meets is verified on the units. A line goes if an earlier line of the corpus is equal or within the bound; equal means
+equal but for blanks at its ends.
 """
 
 from __future__ import annotations
@@ -14,9 +15,10 @@ from pyspark.sql import functions as F
 
 from panelkit.llm.common import saved
 
-MIN_WORDS = 10  # lines of fewer words are only compared for equality: one word of them is too much of the line
+MIN_WORDS = 10  # lines of fewer words are compared by characters: one word of them is too much of the line
+MIN_CHARS = 5  # below, one character is more than a fifth of the line, and only equal lines are copies
 BROADCAST_KEYS = 1_000_000  # repeated line ends (8 bytes each) up to which they are broadcast; beyond, the join is shuffled
-_BLOCK = 64  # words whose hashes are folded into one, so that a key costs far less than the line's length
+_BLOCK = 64  # units whose hashes are folded into one, so that a key costs far less than the line's length
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -33,47 +35,55 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return lines(docs).select("*", F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2"), place.alias("place"))
 
 
-def _half(words: Column) -> Column:
-    """The largest power of two of words that one of a line's ends shares with any other line within the bound, given the
-    number of words of the longer line."""
-    return F.pow(F.lit(2), F.floor(F.log2(F.floor((words - 1) / 2)))).cast("int")
+def _half(units: Column) -> Column:
+    """The largest power of two of units that one of a line's ends shares with any other line within the bound, given the
+    number of units of the longer line."""
+    return F.pow(F.lit(2), F.floor(F.log2(F.floor((units - 1) / 2)))).cast("int")
+
+
+def _units(line: str, short: str) -> Column:
+    return F.when(F.col(short), F.split(line, "", -1)).otherwise(F.split(line, " ", -1))
 
 
 def _with_ends(rows: DataFrame) -> DataFrame:
-    """Lines of MIN_WORDS or more, a row for each hash of their first and last words (for partners as long, and longer by one)."""
-    rows = rows.withColumn("words", F.split("line", " ", -1)).withColumn("n", F.size("words")).where(F.col("n") >= MIN_WORDS)
+    """Lines that can have a near copy, a row for each hash of their first and last units (for partners as long, and longer
+    by one)."""
+    rows = rows.withColumn("words", F.split("line", " ", -1)).withColumn("short", F.size("words") < MIN_WORDS)
+    rows = rows.withColumn("n", F.when(F.col("short"), F.length("line")).otherwise(F.size("words"))).where(~F.col("short") | (F.col("n") >= MIN_CHARS))
     rows = rows.withColumn("h1", _half(F.col("n"))).withColumn("h2", _half(F.col("n") + 1))
 
     def ends(h: str) -> list[Column]:
-        return [F.xxhash64(F.lit(0), h, F.slice("words", 1, F.col(h))), F.xxhash64(F.lit(1), h, F.slice("words", F.col("n") - F.col(h) + 1, F.col(h)))]
+        first = F.when(F.col("short"), F.xxhash64(F.lit(0), h, F.left("line", F.col(h)))).otherwise(F.xxhash64(F.lit(1), h, F.slice("words", 1, F.col(h))))
+        last = F.when(F.col("short"), F.xxhash64(F.lit(2), h, F.right("line", F.col(h)))).otherwise(F.xxhash64(F.lit(3), h, F.slice("words", F.col("n") - F.col(h) + 1, F.col(h))))
+        return [first, last]
 
     both = F.when(F.col("h1") == F.col("h2"), F.array(*ends("h1"))).otherwise(F.array(*ends("h1"), *ends("h2")))
-    return rows.select("k1", "k2", "place", "words", "n", F.explode(both).alias("end"))
+    return rows.select("k1", "k2", "place", "short", "line", "n", F.explode(both).alias("end"))
 
 
 def _candidates(docs: DataFrame) -> DataFrame:
-    """(line_id, k1, k2, words, n, longer, others): distinct lines that share an end with a different line, numbered in the
-    order of their first places. `longer`: a line longer by one shares it; `others`: one as long or shorter by one does."""
+    """(line_id, k1, k2, short, line, n, longer): distinct lines that share an end with a different line, numbered in the
+    order of their first places. `longer`: a line longer by one shares it."""
     ends = _with_ends(_keyed(docs))
     shared = ends.groupBy("end").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.min("n").alias("n_min"), F.max("n").alias("n_max"))
     shared = saved(shared.where("a <> b AND n_min < n_max + 2").select("end", "n_min", "n_max"))
     if shared.count() <= BROADCAST_KEYS:
         shared = F.broadcast(shared)
-    met = ends.join(shared, "end").select("k1", "k2", "place", "words", "n", (F.col("n_max") > F.col("n")).alias("longer"))
-    distinct = met.groupBy("k1", "k2").agg(F.min("place").alias("place"), F.max("longer").alias("longer"), F.min(F.struct("n", "words")).alias("line"))
-    ordered = distinct.select("k1", "k2", "place", "longer", "line.n", "line.words").orderBy("place", "k1", "k2")
+    met = ends.join(shared, "end").select("k1", "k2", "place", "short", "line", "n", (F.col("n_max") > F.col("n")).alias("longer"))
+    distinct = met.groupBy("k1", "k2").agg(F.min("place").alias("place"), F.max("longer").alias("longer"), F.min(F.struct("n", "short", "line")).alias("line"))
+    ordered = distinct.select("k1", "k2", "place", "longer", "line.n", "line.short", "line.line").orderBy("place", "k1", "k2")
     return saved(ordered.withColumn("line_id", F.monotonically_increasing_id()).drop("place"))
 
 
-def _folded(words: str, blocks: str, count: Column) -> Column:
-    """Hash of the first `count` words: whole blocks by their hash, the rest by the words'."""
+def _folded(units: str, blocks: str, count: Column) -> Column:
+    """Hash of the first `count` units: whole blocks by their hash, the rest by the units'."""
     whole = F.floor(count / _BLOCK).cast("int")
-    return F.xxhash64(F.slice(blocks, 1, whole), F.slice(words, whole * _BLOCK + 1, count - whole * _BLOCK))
+    return F.xxhash64(F.slice(blocks, 1, whole), F.slice(units, whole * _BLOCK + 1, count - whole * _BLOCK))
 
 
 def _variants(found: DataFrame) -> DataFrame:
     """(key, line_id): the deletion neighbourhood of every candidate line."""
-    hashed = found.select("line_id", "n", "longer", F.transform("words", lambda w: F.xxhash64(w)).alias("fore"))
+    hashed = found.select("line_id", "short", "n", "longer", F.transform(_units("line", "short"), lambda w: F.xxhash64(w)).alias("fore"))
     hashed = hashed.withColumn("back", F.reverse("fore"))
 
     def blocks(side: str) -> Column:
@@ -83,14 +93,14 @@ def _variants(found: DataFrame) -> DataFrame:
     hashed = hashed.withColumns({"fore_blocks": blocks("fore"), "back_blocks": blocks("back")})
     counts = F.sequence(F.lit(0), F.col("n"))
     hashed = hashed.select(
-        "line_id", "n", "longer",
+        "line_id", "short", "n", "longer",
         F.transform(counts, lambda i: _folded("fore", "fore_blocks", i)).alias("first"),
         F.transform(counts, lambda i: _folded("back", "back_blocks", i)).alias("last"),
     )
 
     def key(left: Column, at: Column) -> Column:
-        """Of the `left` words around a gap at `at`."""
-        return F.xxhash64(left, at, F.get("first", at), F.get("last", left - at))
+        """Of the `left` units around a gap at `at`."""
+        return F.xxhash64("short", left, at, F.get("first", at), F.get("last", left - at))
 
     deleted = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: key(F.col("n") - 1, i))
     gaps = F.when(F.col("longer"), F.transform(counts, lambda i: key(F.col("n"), i))).otherwise(F.array().cast("array<bigint>"))
@@ -98,7 +108,7 @@ def _variants(found: DataFrame) -> DataFrame:
 
 
 def _one_edit(a: Column, b: Column) -> Column:
-    """Whether word arrays a and b are within one edit."""
+    """Whether arrays of units a and b are within one edit."""
     # the first place where they differ, from 1; 0 where they are equal
     at = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False).cast("int")
     n, m = F.size(a), F.size(b)
@@ -117,8 +127,10 @@ def near_lines(docs: DataFrame) -> DataFrame:
     # the earliest line of a key is enough: it is within the bound of all others there
     first = variants.groupBy("key").agg(F.min("line_id").alias("earlier"), F.max("line_id").alias("latest")).where("earlier < latest")
     pairs = variants.join(first.drop("latest"), "key").where("line_id > earlier").select("line_id", "earlier").distinct()
-    one, other = found.select("line_id", "k1", "k2", "words"), found.select(F.col("line_id").alias("earlier"), F.col("words").alias("words_before"))
-    checked = pairs.join(one, "line_id").join(other, "earlier").where(_one_edit(F.col("words"), F.col("words_before")))
+    one, other = found.select("line_id", "k1", "k2", "short", "line"), found.select(F.col("line_id").alias("earlier"), F.col("short").alias("short_before"), F.col("line").alias("line_before"))
+    met = pairs.join(one, "line_id").join(other, "earlier").where("short = short_before")
+    met = met.select("k1", "k2", _units("line", "short").alias("units"), _units("line_before", "short").alias("units_before"))
+    checked = met.where(_one_edit(F.col("units"), F.col("units_before")))
     return checked.select("k1", "k2").distinct()
 
 

@@ -100,9 +100,14 @@ ORACLE["op5_line_dedup"] = """
          d AS (SELECT t, min((doc_id, line_no)) AS place, string_split(t, ' ') AS w FROM l WHERE t <> '' GROUP BY t),
          v AS (SELECT t, place, len(w) AS n, i, md5(array_to_string(w[1 : i - 1] || w[i + 1 :], ' ')) AS rest
                FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM d WHERE len(w) >= 10)),
+         c AS (SELECT t, place, length(t) AS n, i, md5(substr(t, 1, i - 1) || substr(t, i + 1)) AS rest
+               FROM (SELECT *, unnest(range(1, length(t) + 1)) AS i FROM d WHERE len(w) < 10 AND length(t) >= 5)),
          near AS (SELECT a.t FROM v a JOIN v b ON a.n = b.n AND a.i = b.i AND a.rest = b.rest AND b.place < a.place
                   UNION SELECT a.t FROM v a JOIN d b ON a.n = len(b.w) + 1 AND len(b.w) >= 10 AND a.rest = md5(b.t) AND b.place < a.place
-                  UNION SELECT b.t FROM v a JOIN d b ON a.n = len(b.w) + 1 AND len(b.w) >= 10 AND a.rest = md5(b.t) AND a.place < b.place),
+                  UNION SELECT b.t FROM v a JOIN d b ON a.n = len(b.w) + 1 AND len(b.w) >= 10 AND a.rest = md5(b.t) AND a.place < b.place
+                  UNION SELECT a.t FROM c a JOIN c b ON a.n = b.n AND a.i = b.i AND a.rest = b.rest AND b.place < a.place
+                  UNION SELECT a.t FROM c a JOIN d b ON a.n = length(b.t) + 1 AND length(b.t) >= 5 AND len(b.w) < 10 AND a.rest = md5(b.t) AND b.place < a.place
+                  UNION SELECT b.t FROM c a JOIN d b ON a.n = length(b.t) + 1 AND length(b.t) >= 5 AND len(b.w) < 10 AND a.rest = md5(b.t) AND a.place < b.place),
          g AS (SELECT l.doc_id, l.line_no FROM l JOIN d ON l.t = d.t
                WHERE (l.doc_id, l.line_no) <> d.place OR d.t IN (SELECT t FROM near))
     SELECT s.doc_id, len(s.ls)::BIGINT AS n_lines, count(g.line_no)::BIGINT AS n_removed,

@@ -65,6 +65,8 @@ def _line_report(rows):
     split = {line: line.split(" ") for line in first}
     long = [line for line in first if len(split[line]) >= line_dedup.MIN_WORDS]
     near = {a for a in long for b in long if first[b] < first[a] and abs(len(split[a]) - len(split[b])) < 2 and (split[a][:4] == split[b][:4] or split[a][-4:] == split[b][-4:]) and _edits(split[a], split[b]) <= 1}
+    short = [line for line in first if len(split[line]) < line_dedup.MIN_WORDS and len(line) >= line_dedup.MIN_CHARS]
+    near |= {a for a in short for b in short if first[b] < first[a] and _edits(a, b) <= 1}
     for number, (i, t) in enumerate(rows):
         gone = sorted(n for _, _, n, k, line in lines if k == number and line and ((i is None, i or 0, n) != first[line] or line in near))
         yield i, len((t or "").split("\n")), len(gone), ",".join(map(str, gone))
@@ -79,8 +81,12 @@ def test_lines(spark, monkeypatch):
     ]
     rows = [*awkward_rows(), (30, "\n".join(edited[:3])), (31, base + "\n\nshort line\n" + edited[3]), (32, "short line\n" + edited[4] + "\n" + edited[4]), (33, "\n".join(edited[5:])), (34, "Short line")]
     rows += [(40 + i, " ".join([*words[:5], f"u{i}", *words[6:]])) for i in range(30)]
+    # few words: by characters, a fifth of the line at most; ten words of one letter are not ten characters
+    few = ["Menu one", "Menu one!", "menu one!", "enu one", "Mnu  one", "größer", "grösser", "größe", "Page 10", "Page 11", "abcd", "abce", "abcde", "abcdefghij"]
+    rows += [(80 + i, line) for i, line in enumerate(few)] + [(110, "a b c d e f g h i j"), (111, "x" * 400), (112, "x" * 401), (113, "\U0001f600 four"), (114, "\U0001f601 four")]
     docs = table(spark, rows)
     wanted = sorted(_line_report(rows), key=repr)
+    assert {w[0] for w in wanted if w[2]} >= {81, 82, 83, 87, 89, 112, 114} and not {w[0] for w in wanted if w[2]} & {80, 84, 85, 86, 88, 90, 91, 92, 93, 110, 111}
     assert sum(w[2] for w in wanted) > 40
     assert sorted(map(tuple, line_dedup.report(docs).collect()), key=repr) == wanted
     monkeypatch.setattr(line_dedup, "BROADCAST_KEYS", 0)  # the way for more keys than a broadcast takes
