@@ -18,7 +18,7 @@ from panelkit.llm.common import saved
 MIN_WORDS = 10  # lines of fewer words are compared by characters: one word of them is too much of the line
 MIN_CHARS = 5  # below, one character is more than a fifth of the line, and only equal lines are copies
 BROADCAST_KEYS = 1_000_000  # repeated line ends (8 bytes each) up to which they are broadcast; beyond, the join is shuffled
-_BLOCK = 64  # units whose hashes are folded into one, so that a key costs far less than the line's length
+_BLOCK = 16  # units whose hashes are folded into one, and blocks into one of the next level, so that a key costs far less than the line's length
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -36,9 +36,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _half(units: Column) -> Column:
-    """The largest power of two of units that one of a line's ends shares with any other line within the bound, given the
-    number of units of the longer line."""
-    return F.pow(F.lit(2), F.floor(F.log2(F.floor((units - 1) / 2)))).cast("int")
+    """How many units one of a line's ends shares with any other line within the bound, given the units of the longer line;
+    of words the largest power of two."""
+    half = F.floor((units - 1) / 2)
+    return F.when(F.col("short"), half).otherwise(F.pow(F.lit(2), F.floor(F.log2(half)))).cast("int")
 
 
 def _units(line: str, short: str) -> Column:
@@ -75,10 +76,13 @@ def _candidates(docs: DataFrame) -> DataFrame:
     return saved(ordered.withColumn("line_id", F.monotonically_increasing_id()).drop("place"))
 
 
-def _folded(units: str, blocks: str, count: Column) -> Column:
-    """Hash of the first `count` units: whole blocks by their hash, the rest by the units'."""
+def _folded(side: str, count: Column) -> Column:
+    """Hash of the first `count` units of a side: whole blocks of blocks by their hash, then whole blocks, then units."""
     whole = F.floor(count / _BLOCK).cast("int")
-    return F.xxhash64(F.slice(blocks, 1, whole), F.slice(units, whole * _BLOCK + 1, count - whole * _BLOCK))
+    above = F.floor(count / (_BLOCK * _BLOCK)).cast("int")
+    return F.xxhash64(
+        F.slice(f"{side}_above", 1, above), F.slice(f"{side}_blocks", above * _BLOCK + 1, whole - above * _BLOCK), F.slice(side, whole * _BLOCK + 1, count - whole * _BLOCK)
+    )
 
 
 def _variants(found: DataFrame) -> DataFrame:
@@ -86,16 +90,17 @@ def _variants(found: DataFrame) -> DataFrame:
     hashed = found.select("line_id", "short", "n", "longer", F.transform(_units("line", "short"), lambda w: F.xxhash64(w)).alias("fore"))
     hashed = hashed.withColumn("back", F.reverse("fore"))
 
-    def blocks(side: str) -> Column:
-        numbers = F.sequence(F.lit(0), F.floor(F.col("n") / _BLOCK).cast("int"))
+    def blocks(side: str, size: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor(size / _BLOCK).cast("int"))
         return F.transform(numbers, lambda j: F.xxhash64(F.slice(side, j * _BLOCK + 1, F.lit(_BLOCK))))
 
-    hashed = hashed.withColumns({"fore_blocks": blocks("fore"), "back_blocks": blocks("back")})
+    hashed = hashed.withColumns({f"{side}_blocks": blocks(side, F.col("n")) for side in ("fore", "back")})
+    hashed = hashed.withColumns({f"{side}_above": blocks(f"{side}_blocks", F.col("n") / _BLOCK) for side in ("fore", "back")})
     counts = F.sequence(F.lit(0), F.col("n"))
     hashed = hashed.select(
         "line_id", "short", "n", "longer",
-        F.transform(counts, lambda i: _folded("fore", "fore_blocks", i)).alias("first"),
-        F.transform(counts, lambda i: _folded("back", "back_blocks", i)).alias("last"),
+        F.transform(counts, lambda i: _folded("fore", i)).alias("first"),
+        F.transform(counts, lambda i: _folded("back", i)).alias("last"),
     )
 
     def key(left: Column, at: Column) -> Column:
