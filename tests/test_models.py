@@ -11,7 +11,7 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
 from panelkit.operators import features, knn, prep, sampling, smote
-from panelkit.plans import boosting, evaluate, kmeans, models, search, sweep, tasks
+from panelkit.plans import boosting, evaluate, kmeans, models, run, search, sweep, tasks
 
 from panelkit.session import fresh_path
 from panelkit.sources.panel import PANEL_SPEC, derived_panel
@@ -289,3 +289,10 @@ def test_a_centre_without_points_stays():
     assert sums.tolist() == [[3.0, 2.0], [0.0, 0.0], [0.0, 0.0]] and inertia == pytest.approx(0.75)
     same = kmeans.starting_centres(np.zeros((4, 2)), 3, 1)
     assert same.tolist() == [[0.0, 0.0]] * 3
+
+
+def test_staged_run_keeps_its_table_and_its_reports_apart(spark, sf):
+    options = run.RunOptions(stages=(), cv_folds=2, sample_rows=300, skip_grid=True, models={"DecisionTree": models.ModelSpec("DecisionTree", {"max_depth": 2})})
+    result = run.run(derived_panel(spark, sf), PANEL_SPEC, fresh_path(spark, "run"), options)
+    assert sorted(result.written) == ["confusion_matrix", "cv_baseline", "final_summary", "per_class"] and not result.failures
+    assert spark.read.option("header", True).csv(result.written["cv_baseline"]).first()["model"] == "DecisionTree"
