@@ -59,6 +59,22 @@ def test_numbers_by_ranges(rows, monkeypatch):
     assert tried
 
 
+def test_only_rows_around_the_wanted_places_are_listed(spark, monkeypatch):
+    """A column of more than DIRECT_ROWS values is cut to bins first, whatever signs, zeros and infinities it has."""
+    listed = []
+    plain = fold_statistics._at_places
+    monkeypatch.setattr(fold_statistics, "_at_places", lambda df, ranges, *given: listed.extend(ranges) or plain(df, ranges, *given))
+    n = fold_statistics.DIRECT_ROWS + 1
+    v = F.when(F.col("id") % 4 == 0, -0.0).when(F.col("id") % 1000 == 1, float("inf")).otherwise(((F.col("id") * 7919) % n).cast("double") - 1000.0)
+    df = spark.range(n).select(F.floor(F.col("id") / 1000 % 2).alias("fold"), v.alias("v"))
+    got = prep.fit_stats(df, ["v"], [], folds=2)
+    assert sum(int(r.inside.sum()) for r in listed if r.lo != r.hi) < n / 20
+    table = df.toPandas()
+    for s in range(2):
+        own = table["v"][table["fold"] != s]
+        assert got[s].quartiles["v"] == tuple(own.quantile([0.25, 0.5, 0.75]))
+
+
 def test_categories_of_every_training_set(rows):
     stats = prep.fit_stats(rows, [], ["t"], "y", folds=FOLDS)
     for s, own in wanted(rows, FOLDS):
