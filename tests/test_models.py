@@ -82,6 +82,31 @@ def test_neighbours_match_brute_force(spark):
         assert got[i] == sorted(peers, key=lambda j: (away[i, j], j))[:5]
 
 
+def test_near_pairs_hold_the_nearest_of_every_point():
+    """Few pairs are measured, far from the origin too, and rounding never decides between near ties."""
+    g = np.random.default_rng(5)
+    there = np.vstack([g.normal(size=(600, 6)), np.round(g.normal(size=(600, 6)))])
+    for shift in (0.0, 1e6):
+        x = there + shift
+        row, col, away = knn._near_pairs(x[:200], x, np.arange(200), 5)
+        exact = knn._distances(x[:200], x)
+        assert len(row) < 200 * 60 and (away == exact[row, col]).all()
+        exact[np.arange(200), np.arange(200)] = np.inf
+        for i in range(200):
+            own = sorted(zip(away[row == i], col[row == i]))[:5]
+            assert [int(c) for _, c in own] == np.argsort(exact[i], kind="stable")[:5].tolist()
+    near = exact[:, :600]
+    radius = np.where(np.arange(200) % 2 == 0, np.partition(near, 4, axis=1)[:, 4], np.nan)
+    row, col, away = knn._near_pairs(x[:200], x, np.arange(200), 5, radius)
+    for i in range(200):
+        inside = np.flatnonzero(exact[i] <= radius[i]) if i % 2 == 0 else np.argsort(exact[i], kind="stable")[:5]
+        assert set(inside) <= set(col[row == i])
+    # squares that overflow are measured one by one; an infinite distance is none
+    with np.errstate(over="ignore", invalid="ignore"):
+        row, col, away = knn._near_pairs(np.array([[1e200]]), np.array([[1e200], [-1e200], [1.001e200], [1e200]]), np.array([0]), 2)
+    assert col.tolist() == [3] and away.tolist() == [0.0]
+
+
 def test_smote(spark):
     g = np.random.default_rng(6)
     rows = [(i, 0.0, [float(v) for v in g.normal(size=2)]) for i in range(90)]
