@@ -309,6 +309,36 @@ def test_kmeans_in_shared_passes(spark):
         kmeans.fit_many(df.limit(0), ["a"], "id", [2])
 
 
+def test_kmeans_rests_on_shares_before_all_rows(spark, monkeypatch):
+    """Most passes read a share of the rows, the last ones all; what is found is as good as without shares."""
+    g = np.random.default_rng(8)
+    x = g.normal(size=(3000, 2)) + g.integers(0, 3, 3000)[:, None] * 2.0
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, a double, b double")
+    wanted = kmeans.fit_many(df, ["a", "b"], "id", [2, 4], restarts=3)
+    sizes, once = [], kmeans._pass
+    monkeypatch.setattr(kmeans, "START_SAMPLE", 50)
+    monkeypatch.setattr(kmeans, "LEVEL", 4)
+    monkeypatch.setattr(kmeans, "_pass", lambda table, models, dim: sizes.append(table.agg(F.sum(F.length("block"))).first()[0] // 16) or once(table, models, dim))
+    found = kmeans.fit_many(df, ["a", "b"], "id", [2, 4], restarts=3)
+    assert sizes[-1] == 3000 and sizes == sorted(sizes) and len(set(sizes)) == 2
+    for k, model in found.items():
+        assert model.inertia == pytest.approx(((x[:, None] - model.centres[None]) ** 2).sum(-1).min(axis=1).sum())
+        assert model.inertia <= wanted[k].inertia * 1.01
+
+
+def test_elbow_reads_its_table_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(v):
+        read.add(1)
+        return v
+
+    df = spark.range(400).select(F.col("id").alias("row_id"), (F.col("id") % 17).cast("double").alias("a"), seen.asNondeterministic()((F.col("id") % 5).cast("double")).alias("b"))
+    board = tasks.kmeans_elbow(df, PANEL_SPEC, [2, 3], features=["a", "b"], restarts=2, sample=100).collect()
+    assert [r["k"] for r in board] == [2, 3] and read.value == 400
+
+
 def test_a_centre_without_points_stays():
     sums, inertia = kmeans.pass_sums(np.array([[0.0], [1.0], [1.0]]), [np.array([[0.5], [0.5], [9.0]])])[0]
     assert sums.tolist() == [[3.0, 2.0], [0.0, 0.0], [0.0, 0.0]] and inertia == pytest.approx(0.75)
