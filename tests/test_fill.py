@@ -90,3 +90,14 @@ def test_plan_has_one_shuffle(spark):
 def test_no_entity_column(spark):
     df = spark.range(3)
     assert impute.group_impute(df, SPEC) is df
+
+
+def test_stretches_are_more_than_tasks(spark):
+    """Hundreds of stretches of a few rows each come from one task and lie in one file; the result is that of the plain fill."""
+    spec = PanelSpec(entity="e", order=("t",), row_id="id", label="y")
+    data = [(i, "all" if i % 9 else "other", 1, None if i % 40 else float(i), None if i != 700 else "x") for i in range(2000)]
+    df = spark.createDataFrame(data, SCHEMA).repartition(5)
+    dealt = impute.stretched(df, spec, 400)
+    assert dealt.select("__chunk").distinct().count() == 400 and len(dealt.inputFiles()) == 1
+    assert dealt.groupBy("__chunk").count().agg({"count": "max"}).first()[0] == 5
+    assert sorted(map(tuple, impute.fill_both(df, spec, ["v", "s"], 10, 5).collect())) == brute(data)
