@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from panelkit.operators import charts, cluster_scores, metrics, profile, ranks, sampling
 from panelkit.operators.quantiles import exact_quantiles
@@ -195,3 +196,28 @@ def test_category_bars_are_ranked_over_all_ranges(spark):
     }
     assert set(map(tuple, got.collect())) == wanted
     assert charts.category_bars(df.limit(0), ["a"]).count() == 0
+
+
+@pytest.mark.parametrize("held", [0, 4_000_000])
+def test_spearman_reads_its_table_once(spark, monkeypatch, held):
+    """Ranks by joins of both kinds: missing cells, ties, a constant column and one that no pair can use."""
+    monkeypatch.setattr(ranks, "BROADCAST_RANKS", held)
+    g = np.random.default_rng(12)
+    pdf = pd.DataFrame({"a": g.integers(0, 9, 300) * 1.0, "b": g.normal(size=300), "c": 4.0, "d": g.integers(0, 50, 300) * 1.0})
+    pdf.loc[g.random(300) < 0.2, "a"] = None
+    pdf.loc[pdf["a"].notna(), "e"] = pdf["b"] - pdf["a"]
+    pdf["f"] = [1.0] + [None] * 299
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(v):
+        read.add(1)
+        return v
+
+    df = spark.createDataFrame(pdf).replace(float("nan"), None).withColumn("b", seen.asNondeterministic()("b"))
+    found = {(r.column_a, r.column_b): r.correlation for r in ranks.spearman(df, list("abcdef")).collect()}
+    assert read.value == 300
+    for one, other in [("a", "b"), ("a", "d"), ("b", "d"), ("a", "e"), ("b", "e"), ("e", "d")]:
+        both = pdf[[one, other]].dropna()
+        assert found[one, other] == found[other, one] == pytest.approx(both.rank().corr().iloc[0, 1], abs=1e-10)
+    assert found["a", "c"] is None and found["b", "f"] is None and found["c", "c"] == 1.0
