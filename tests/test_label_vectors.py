@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from panelkit.operators import labels
 from panelkit.spec import PanelSpec
@@ -39,3 +40,22 @@ def test_labels_that_are_too_many_bytes(spark, monkeypatch):
     monkeypatch.setattr(labels, "VOCABULARY_BYTES", 40)
     with pytest.raises(ValueError, match="more than 40"):
         labels.fit_vocabulary(spark.createDataFrame([("one, two, three",)], "m string"), SPEC)
+
+
+def test_labels_are_found_in_one_reading_and_told_without_row_functions(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(v):
+        read.add(1)
+        return v
+
+    df = spark.createDataFrame([(i, f"a{i}, b{i % 3}" if i % 4 else None) for i in range(90)], f"id long, {SPEC.multilabel} string")
+    df = df.withColumn(SPEC.multilabel, seen.asNondeterministic()(SPEC.multilabel))
+    vocabulary = labels.fit_vocabulary(df, SPEC)
+    assert read.value == 90 and len(vocabulary) == 67 + 3
+    told = labels.vector_labels(labels.label_vectors(df, SPEC, vocabulary)[0], "label_vector", vocabulary)
+    assert told.columns == ["id", "label"] and told.count() == 67 * 2
+    plain = spark.createDataFrame([(1, "a, b")], f"id long, {SPEC.multilabel} string")
+    plan = labels.vector_labels(labels.label_vectors(plain, SPEC, ["a", "b"])[0], "label_vector", ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "BatchEvalPython" not in plan
