@@ -351,3 +351,13 @@ def test_staged_run_keeps_its_table_and_its_reports_apart(spark, sf):
     result = run.run(derived_panel(spark, sf), PANEL_SPEC, fresh_path(spark, "run"), options)
     assert sorted(result.written) == ["confusion_matrix", "cv_baseline", "final_summary", "per_class"] and not result.failures
     assert spark.read.option("header", True).csv(result.written["cv_baseline"]).first()["model"] == "DecisionTree"
+
+
+def test_trees_do_not_grow_in_more_tasks_than_cores(spark, monkeypatch):
+    """Each task hands on histograms of all nodes, so the many parts of a table are put together, but not beyond a number of rows."""
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(1000).repartition(64)
+    assert models.tree_rows(rows).rdd.getNumPartitions() == cores and models.tree_rows(rows).count() == 1000
+    assert models.tree_rows(rows.limit(0)).count() == 0
+    monkeypatch.setattr(models, "TASK_ROWS", 25)
+    assert models.tree_rows(rows).rdd.getNumPartitions() == 40
