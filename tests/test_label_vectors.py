@@ -59,3 +59,20 @@ def test_labels_are_found_in_one_reading_and_told_without_row_functions(spark):
     plain = spark.createDataFrame([(1, "a, b")], f"id long, {SPEC.multilabel} string")
     plan = labels.vector_labels(labels.label_vectors(plain, SPEC, ["a", "b"])[0], "label_vector", ["a", "b"])._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "BatchEvalPython" not in plan
+
+
+def test_labels_beyond_the_bytes_of_a_list_are_a_table(spark, monkeypatch):
+    """Vectors and the way back are the same where the labels stay a table; rows are told apart even if they are equal."""
+    pick = random.Random(5)
+    cells = [(i // 2, ", ".join(["in all", *(f"l{pick.randrange(3_000)}" for _ in range(6)), "in all"])) for i in range(1_500)]
+    cells += [(9_001, None), (9_002, ""), (9_003, "and one, two"), (None, "two")]
+    df = spark.createDataFrame(cells, "id long, m string").repartition(5)
+    wanted, listed = labels.label_vectors(df, SPEC)
+    monkeypatch.setattr(labels, "VOCABULARY_BYTES", 1_000)
+    vectors, table = labels.label_vectors(df, SPEC)
+    assert isinstance(table, labels.LabelTable) and table.size == len(listed) and vectors.columns == wanted.columns
+    assert [r["label"] for r in table.table.orderBy("place").collect()] == listed
+    told = lambda t: sorted(t.collect(), key=repr)
+    assert told(vectors) == told(wanted) and len(cells) == vectors.count()
+    assert vectors.schema["label_vector"].dataType == wanted.schema["label_vector"].dataType
+    assert told(labels.vector_labels(vectors, "label_vector", table)) == told(labels.vector_labels(wanted, "label_vector", listed))
