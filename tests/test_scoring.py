@@ -51,6 +51,31 @@ def test_a_failing_preparation_keeps_its_row(rows, monkeypatch):
         assert (r["error"] == "no ordinal here" and r["macro_f1"] is None) if r["encoder"] == "ordinal" else (r["error"] is None and r["macro_f1"] is not None)
 
 
+def test_a_failure_is_no_result(rows, monkeypatch):
+    """A job that ends or a lost executor ends the sweep; a refused configuration is left out or, if asked, an error."""
+    fit = evaluate.fit_config
+    options = {"scalers": ["robust"], "encoders": ["ordinal"], "models": ["DecisionTree"], "cv": 2}
+    grid = {"param_grids": {"DecisionTree": {"max_depth": [1, 3]}}}
+
+    def lost(config, train, *args):
+        if config.model.params["max_depth"] == 3:
+            train.foreach(lambda row: 1 / 0)
+        return fit(config, train, *args)
+
+    monkeypatch.setattr(evaluate, "fit_config", lost)
+    with pytest.raises(Exception, match="ZeroDivisionError"):
+        sweep.run_full_sweep(rows, SPEC, **options, **grid)
+    monkeypatch.setattr(evaluate, "fit_config", fit)
+    refused = {"param_grids": {"DecisionTree": {"max_depth": [1, -1]}}}
+    assert sweep.run_full_sweep(rows, SPEC, **options, **refused)[0].count() == 1
+    with pytest.raises(ValueError, match="1 of 2 configurations"):
+        sweep.run_full_sweep(rows, SPEC, strict=True, **options, **refused)
+    broken = {"tree": models.ModelSpec("DecisionTree", {"max_depth": -1}), "fits": TREE}
+    for compare in (ablations.ablation_imbalance, ablations.compare_models):
+        with pytest.raises(ValueError, match="have no scores"):
+            compare(rows, SPEC, cv=2, models=broken)
+
+
 def test_an_ended_sweep_goes_on_where_it_was(rows, spark, monkeypatch):
     """Finished (configuration, fold) pairs are read from the ledger; the board is that of an undisturbed run."""
     options = {"scalers": ["standard", "robust"], "encoders": ["ordinal"], "models": ["DecisionTree"], "param_grids": {"DecisionTree": {"max_depth": [1, 3]}}, "cv": 2}
