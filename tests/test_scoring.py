@@ -93,6 +93,22 @@ def test_an_ended_sweep_goes_on_where_it_was(rows, spark, monkeypatch):
     assert not fits
 
 
+def test_depths_of_one_tree_share_a_fit(rows, monkeypatch):
+    """A tree does not depend on the levels below: the deepest gives the others, which score as if fitted alone."""
+    fits, fit = [], evaluate.fit_config
+    monkeypatch.setattr(evaluate, "fit_config", lambda *a: fits.append(a[0].model.params) or fit(*a))
+    configs = [
+        evaluate.build_pipeline("robust", "ordinal", models.ModelSpec("DecisionTree", {"max_depth": d, "min_samples_leaf": n}), name=f"{d} {n}")
+        for n in (1, 9) for d in (1, None, 3, 31)
+    ]
+    scores = lambda b: {r["name"]: (r["macro_f1"], r["accuracy"], r["error"]) for r in b.collect()}
+    together = scores(evaluate.score_board(rows, SPEC, configs, 2))
+    assert sorted((f["max_depth"] or 99, f["min_samples_leaf"]) for f in fits) == [(31, 1)] + [(31, 9)] + [(99, 1)] * 2 + [(99, 9)] * 2
+    assert together["31 1"][0] is None and "31" in together["31 1"][2]
+    for config in configs:
+        assert scores(evaluate.score_board(rows, SPEC, [config], 2)) == {config.tags["name"]: together[config.tags["name"]]}
+
+
 def test_holdout_report_counts_its_predictions(rows):
     held = evaluate.evaluate_holdout(rows, SPEC, evaluate.build_pipeline("robust", "onehot", TREE))
     pairs = [(r["label"], r["predicted"]) for r in held.predictions.collect()]
