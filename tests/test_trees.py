@@ -6,7 +6,7 @@ from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.linalg import SparseVector, Vectors
 from pyspark.sql import functions as F
 
-from panelkit.plans import evaluate, models, trees
+from panelkit.plans import boosting, models, trees
 
 
 def made(spark, n=3_000, seed=4, sparse=True):
@@ -86,3 +86,31 @@ def test_cuts():
     assert len(many) == 63 and np.diff(np.concatenate([[-0.5], many, [6_399.5]])).tolist() == [100.0] * 64
     heavy = trees.cuts_of(np.concatenate([np.zeros(5_000), np.arange(1, 1_000.0)]))
     assert heavy[0] == 0.5 and len(heavy) < 63
+
+
+def test_boosting_on_bins_as_on_sparks_trees(spark, monkeypatch):
+    """The same raw scores as by Spark's trees where both cut at the same places, and nothing stays cached."""
+    g = np.random.default_rng(12)
+    x = g.integers(0, 9, size=(900, 3)).astype(float)
+    y = ((x[:, 0] > 3).astype(int) + (x[:, 1] * x[:, 2] > 20)).clip(0, 2)
+    y = np.where(g.random(900) < 0.05, 1, y)
+    df = spark.createDataFrame([(float(v), Vectors.dense(r)) for v, r in zip(y, x)], ["y", "features"]).repartition(3)
+    monkeypatch.setattr(boosting, "CUT_EVERY", 2)  # scores are written between stages
+    before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    own = boosting.SoftmaxBoosting(5, 0.3, 3).fit(df, 3)
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == before
+    monkeypatch.setattr(boosting, "WIDEST", 0)
+    theirs = boosting.SoftmaxBoosting(5, 0.3, 3).fit(df, 3)
+
+    def raw(model):
+        out = np.zeros((900, 3))
+        for stage in model.stages:
+            for k, tree in enumerate(stage):
+                for i, row in enumerate(x):
+                    at = 0
+                    while tree["feature"][at] >= 0:
+                        at = at + 1 if row[tree["feature"][at]] <= tree["threshold"][at] else tree["right"][at]
+                    out[i, k] += tree["step"][at]
+        return out
+
+    assert np.abs(raw(own) - raw(theirs)).max() < 1e-9
