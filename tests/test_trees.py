@@ -2,10 +2,12 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.linalg import SparseVector, Vectors
 from pyspark.sql import functions as F
 
+from checks import catalog_models
 from panelkit.plans import boosting, models, trees
 
 
@@ -114,3 +116,30 @@ def test_boosting_on_bins_as_on_sparks_trees(spark, monkeypatch):
         return out
 
     assert np.abs(raw(own) - raw(theirs)).max() < 1e-9
+
+
+def test_forests_are_as_good_as_sparks_and_load_again(spark, monkeypatch, tmp_path):
+    df, _, _ = made(spark, 3_000, 9)
+    held, _, told = made(spark, 3_000, 10)
+    spec = models.ModelSpec("RandomForest", {"n_estimators": 40, "max_depth": 8, "min_samples_leaf": 2})
+    own = models.fit_classifier(spec, df, 3)
+    assert isinstance(own, trees.ForestModel)
+    theirs = RandomForestClassifier(labelCol="y", maxBins=64, numTrees=40, maxDepth=8, minInstancesPerNode=2, seed=1).fit(df)
+    right = [m.transform(held).where("prediction = y").count() / len(told) for m in (own, theirs)]
+    assert right[0] >= right[1] - 0.01
+    PipelineModel([own]).write().overwrite().save(str(tmp_path / "forest"))
+    again = PipelineModel.load(str(tmp_path / "forest")).transform(held).select("row_id", "prediction")
+    assert sorted(again.collect()) == sorted(own.transform(held).select("row_id", "prediction").collect())
+    monkeypatch.setattr(trees, "FOREST_ROWS", 10)
+    assert not isinstance(models.fit_classifier(spec, df, 3), trees.ForestModel)
+
+
+def test_the_imbalance_query_is_the_whole_stage(spark, sf, monkeypatch):
+    """Every model of the stage with its starting parameters, every strategy, all folds."""
+    asked = []
+    monkeypatch.setattr(catalog_models.ablations, "score_board", lambda df, spec, configs, k, *a, **o: asked.append((k, configs)) or (_ for _ in ()).throw(StopIteration))
+    with pytest.raises(StopIteration):
+        catalog_models.k4(spark, sf)
+    k, configs = asked[0]
+    assert k == 5 and sorted((c.tags["strategy"], c.model.name) for c in configs) == sorted((s, m) for s in ("none", "class_weight", "smote") for m in ("DecisionTree", "RandomForest"))
+    assert all(c.model.params == models.DEFAULTS[c.model.name] for c in configs)
